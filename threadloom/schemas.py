@@ -1,53 +1,32 @@
-"""Fixed schemas. Every scan names its schema, nothing is inferred."""
+"""Fixed schemas as DDL. Every scan names its schema, nothing is inferred."""
 
-from pyspark.sql import types as T
-
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField(name, kind, True)
-            for name, kind in (part.split(" ") for part in ddl.split(", "))
-            for kind in [_KINDS[kind]]
-        ]
-    )
-
-
-_KINDS = {
-    "string": T.StringType(),
-    "double": T.DoubleType(),
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "boolean": T.BooleanType(),
-}
-
-POSTS = _struct(
+POSTS = (
     "post_id string, subreddit string, created_utc double, title string, "
-    "selftext string, url string, permalink string, score long, "
-    "num_comments long, upvote_ratio double, over_18 boolean, "
+    "selftext string, url string, permalink string, score bigint, "
+    "num_comments bigint, upvote_ratio double, over_18 boolean, "
     "removed_by_category string"
 )
 
-COMMENTS = _struct(
+COMMENTS = (
     "comment_id string, link_id string, parent_id string, body string, "
-    "created_utc double, score long, depth int"
+    "created_utc double, score bigint, depth int"
 )
 
-HAND_LABELS = _struct(
+HAND_LABELS = (
     "post_id string, subreddit string, text_all string, "
     "anxiety_level int, anxiety_rating string"
 )
 
-MODEL_LABELS = _struct(
+MODEL_LABELS = (
     "post_id string, subreddit string, title string, text_preview string, "
     "ai_category string, ai_severity string, ai_confidence string"
 )
 
-LEXICON = _struct("word string, emotion string, score string")
+LEXICON = "word string, emotion string, score string"
 
-TOPIC_FEATURES = _struct(
+TOPIC_FEATURES = (
     "post_id string, subreddit string, nmf_topic int, nmf_label string, "
     "nmf_conf double"
 )
 
-METRICS = _struct("section string, metric string, value string")
+METRICS = "section string, metric string, value string"

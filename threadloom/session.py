@@ -56,3 +56,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(target))
+
+
+def materialize(df, label: str):
+    """Write a frame to the shared folder and read it back.
+
+    Cuts the lineage with one computation, and a lost executor only rereads.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
