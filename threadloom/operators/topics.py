@@ -567,7 +567,7 @@ def c_tfidf(
     """(topic, term, tf, weight) with every topic taken as one document.
 
     The term frequency is relative to the topic's length; the weight of a term
-    falls with its total frequency f against the mean topic length A:
+    falls with its total frequency f against the mean topic length A (floored):
     ln(1 + A/f), or ln(1 + (A - f + 0.5)/(f + 0.5)).
     """
     toks = F.col(tokens) if isinstance(tokens, str) else tokens
@@ -577,7 +577,7 @@ def c_tfidf(
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     lengths = cells.groupBy("topic").agg(F.sum("tf").alias("_len"))
-    average = lengths.agg(F.avg("_len").alias("a")).scalar()
+    average = lengths.agg(F.floor(F.avg("_len")).cast("double").alias("a")).scalar()
     f = F.sum("tf").over(W.partitionBy("term"))
     share = F.col("tf") / F.col("_len")
     local = F.sqrt(share) if sqrt_tf else share
