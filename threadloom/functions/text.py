@@ -9,12 +9,13 @@ from pyspark.sql import Column, functions as F
 from threadloom import reference_tables as ref
 
 # The characters Unicode counts as white space, spelled out because regex
-# engines disagree about \s.
-SPACE = (
-    r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# engines disagree about \s: once as a class, once as a list for trimming.
+SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+NON_SPACE = r"[^\t-\r\x1c-\x20\x85\p{Z}]"
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-NON_SPACE = "[^" + SPACE[1:]
 
 
 def as_column(c: Column | str) -> Column:
@@ -39,7 +40,8 @@ def text_or_empty(c: Column | str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Trim white space of any kind at both ends."""
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def words(c: Column | str) -> Column:
@@ -56,13 +58,31 @@ def text_length(c: Column | str) -> Column:
 
 
 def clean_text(c: Column | str) -> Column:
-    """Lower case, links and user mentions out, white space collapsed."""
-    s = F.lower(text_or_empty(c))
-    s = F.regexp_replace(s, rf"http{NON_SPACE}+|www\.{NON_SPACE}+", " ")
-    s = F.regexp_replace(s, "u/[A-Za-z0-9_-]+", " ")
+    """Lower case, links and user mentions out, white space collapsed.
+
+    The two removals run only on texts holding their literal part.
+    """
+
+    def links(s: Column) -> Column:
+        found = F.contains(s, F.lit("http")) | F.contains(s, F.lit("www."))
+        return F.when(
+            found, F.regexp_replace(s, rf"http{NON_SPACE}+|www\.{NON_SPACE}+", " ")
+        ).otherwise(s)
+
+    def mentions(s: Column) -> Column:
+        return F.when(
+            F.contains(s, F.lit("u/")), F.regexp_replace(s, "u/[A-Za-z0-9_-]+", " ")
+        ).otherwise(s)
+
+    s = let(let(F.lower(text_or_empty(c)), links), mentions)
     return F.trim(F.regexp_replace(s, f"{SPACE}+", " "))
 
 
+def clean_word_count(c: Column) -> Column:
+    """Words of an already cleaned text, where single blanks part them."""
+    return F.when(c == "", 0).otherwise(F.size(F.split(c, " ")))
+
+
 def _lookup(table: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
 

@@ -70,16 +70,16 @@ def merge_comments(posts: DataFrame, concat: DataFrame, counts: DataFrame) -> Da
 
 
 def dedupe_first(
-    df: DataFrame, text: str = "text_all", ts: str = "created_dt", id_col: str = "post_id"
+    df: DataFrame, text: Column | str = "text_all", ts: str = "created_dt", id_col: str = "post_id"
 ) -> DataFrame:
-    """Keep the earliest row of each text.
+    """Keep the earliest row of each text, given as a column or an expression.
 
     Rows meet by a 256-bit digest of the text; the rank limit of one keeps at
     most one row per digest and map task, so hot copies never travel.
     """
     first = W.partitionBy("_digest").orderBy(F.col(ts).asc(), F.col(id_col).asc())
     return (
-        df.withColumn("_digest", F.sha2(F.col(text), 256))
+        df.withColumn("_digest", F.sha2(F.col(text) if isinstance(text, str) else text, 256))
         .withColumn("_r", F.row_number().over(first))
         .where(F.col("_r") == 1)
         .drop("_r", "_digest")

@@ -9,6 +9,7 @@ from threadloom.config import PULL_DEFAULT, PullConfig
 from threadloom.functions.text import (
     as_column,
     clean_text,
+    clean_word_count,
     compose_all,
     compose_full,
     compose_main,
@@ -146,10 +147,23 @@ def pick_text(df: DataFrame, candidates: list[str], out: str = "text") -> DataFr
     return df.withColumn(out, F.coalesce(*choices, F.lit("")))
 
 
-def clean_post_texts(df: DataFrame) -> DataFrame:
-    return df.withColumn("title_clean", clean_text("title")).withColumn(
-        "selftext_clean", clean_text("selftext")
+def clean_post_texts(df: DataFrame, floor: int | None = None) -> DataFrame:
+    """Add the cleaned title and body.
+
+    With ``floor`` only posts of that many words stay. The filter sits on the
+    cleaned pair while it is built: as a plain filter it would be pushed to the
+    scan and every text cleaned twice.
+    """
+    pair = F.struct(
+        clean_text("title").alias("title_clean"), clean_text("selftext").alias("selftext_clean")
+    )
+    if floor is None:
+        return df.withColumn("_c", pair).select("*", "_c.*").drop("_c")
+    long_enough = F.filter(
+        F.array(pair),
+        lambda p: clean_word_count(p["title_clean"]) + clean_word_count(p["selftext_clean"]) >= floor,
     )
+    return df.select("*", F.inline(long_enough))
 
 
 def compose(df: DataFrame) -> DataFrame:

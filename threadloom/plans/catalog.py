@@ -1,6 +1,10 @@
 """All registered queries."""
 
-from threadloom.plans import catalog_corpus  # noqa: F401
+from threadloom.plans import (  # noqa: F401
+    catalog_corpus,
+    catalog_emotion,
+    catalog_tokens,
+)
 from threadloom.plans.registry import QUERIES, SQL_TWINS
 
 __all__ = ["QUERIES", "SQL_TWINS"]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.functions.text import clean_text
+from threadloom.functions.text import clean_text, compose_all, compose_main
 from threadloom.operators import merge, posts as po
 
 
-def clean_posts(posts: DataFrame) -> DataFrame:
-    return po.clean_post_texts(po.drop_dead(po.normalize_posts(posts)))
+def clean_posts(posts: DataFrame, floor: int | None = None) -> DataFrame:
+    return po.clean_post_texts(po.drop_dead(po.normalize_posts(posts)), floor)
 
 
 def clean_comments(comments: DataFrame) -> DataFrame:
@@ -21,16 +21,20 @@ def clean_comments(comments: DataFrame) -> DataFrame:
 def clean_merge(posts: DataFrame, comments: DataFrame, k: int = 5, floor: int = 7) -> DataFrame:
     """One row per post with its best comments, short texts and copies dropped.
 
-    Comments are reduced to one row per post on both sides of the joins, the
-    posts are shuffled once by id, and once more by text digest.
+    Short posts go before anything is joined. Comments are reduced to one row
+    per post on both sides of the joins; the posts are shuffled once by id, and
+    once more by text digest. The composed texts repeat their parts, so they
+    are put together behind that shuffle.
     """
-    subs = clean_posts(posts)
+    subs = clean_posts(posts, floor)
     coms = clean_comments(comments)
     merged = merge.merge_comments(
         subs, merge.topk_concat(po.top_level(coms), k), merge.comment_counts(coms)
     )
-    composed = po.min_tokens(po.compose(merged), floor)
-    unique = merge.dedupe_first(composed)
+    whole = compose_all(
+        compose_main(F.col("title_clean"), F.col("selftext_clean")), F.col("comments_concat")
+    )
+    unique = po.compose(merge.dedupe_first(merged, whole))
     return merge.backfill(po.flag_missing(unique), coms, k)
 
 
