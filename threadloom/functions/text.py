@@ -94,21 +94,27 @@ def expand_contractions(c: Column | str, table: dict[str, str] | None = None) ->
     when every key of the table holds one.
     """
     table = ref.CONTRACTIONS if table is None else table
-    pattern = "(" + "|".join(table) + ")"
-    mapping = _lookup(table)
+    return let(F.lower(text_or_empty(c)), lambda s: replace_contractions(s, table))
 
-    def expand(s: Column) -> Column:
-        gaps = F.split(s, pattern, -1)
-        hits = F.regexp_extract_all(s, F.lit(pattern), F.lit(0))
-        joined = F.zip_with(
-            gaps, hits, lambda g, h: F.concat(g, F.coalesce(mapping[h], F.lit("")))
-        )
-        return F.array_join(joined, "")
 
-    low = F.lower(text_or_empty(c))
-    if all("'" in key for key in table):
-        return let(low, lambda s: F.when(F.contains(s, F.lit("'")), expand(s)).otherwise(s))
-    return let(low, expand)
+def replace_contractions(s: Column, table: dict[str, str]) -> Column:
+    """Replace table keys in a lower-case text in one pass.
+
+    Where every key has its first apostrophe behind letters only, texts without
+    one are left alone, and the alternatives are tried only where letters lead
+    up to one.
+    """
+    pattern = "(?:" + "|".join(table) + ")"
+    spelled = all(key.partition("'")[1] and (key.partition("'")[0] + "a").isalpha() for key in table)
+    if spelled:
+        pattern = "(?=[a-z]*')" + pattern
+    mapping = _lookup(table)
+    gaps = F.split(s, pattern, -1)
+    hits = F.regexp_extract_all(s, F.lit(pattern), F.lit(0))
+    joined = F.array_join(
+        F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.coalesce(mapping[h], F.lit("")))), ""
+    )
+    return F.when(F.contains(s, F.lit("'")), joined).otherwise(s) if spelled else joined
 
 
 def expand_sequential(c: Column | str, table: dict[str, str] | None = None) -> Column:

@@ -10,6 +10,7 @@ from threadloom.functions.text import (
     as_column,
     let,
     one_of,
+    replace_contractions,
     text_or_empty,
     words,
 )
@@ -123,21 +124,7 @@ def strip_digits(tokens: Column | str) -> Column:
 
 def expand_tokens(tokens: Column | str) -> Column:
     """Contraction expansion inside each token; the result may hold a space."""
-    pattern = "(" + "|".join(ref.CONTRACTIONS) + ")"
-    mapping = _lookup(ref.CONTRACTIONS)
-
-    def expand(w: Column) -> Column:
-        gaps = F.split(w, pattern, -1)
-        hits = F.regexp_extract_all(w, F.lit(pattern), F.lit(0))
-        return F.array_join(
-            F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.coalesce(mapping[h], F.lit("")))),
-            "",
-        )
-
-    return F.transform(
-        as_column(tokens),
-        lambda w: F.when(F.contains(w, F.lit("'")), expand(w)).otherwise(w),
-    )
+    return F.transform(as_column(tokens), lambda w: replace_contractions(w, ref.CONTRACTIONS))
 
 
 def filter_stops(tokens: Column | str, stops: list[str]) -> Column:

@@ -20,7 +20,7 @@ from threadloom.functions.tokens import (
     term_tokens,
 )
 from threadloom.operators.emotion import BROADCAST_ROWS, small
-from threadloom.operators.stems import stem
+from threadloom.operators.stems import stem_tokens
 
 
 def doc_terms(df: DataFrame, id_col: str, tokens: Column | str) -> DataFrame:
@@ -202,7 +202,7 @@ def processed_tokens(text: str, stops: list[str] | None = None) -> Column:
     """Casual tokens, digits out, contractions expanded, stemmed, stops out."""
     stops = ref.base_stop_words() if stops is None else stops
     toks = expand_tokens(strip_digits(casual_tokens(text)))
-    return filter_stops(F.transform(toks, stem), stops)
+    return filter_stops(stem_tokens(toks), stops)
 
 
 def process_text(df: DataFrame, text: str, extra_stopwords: list[str] | None = None, out: str = "tokens") -> DataFrame:
@@ -267,15 +267,19 @@ def stop_table(spark, *lists: list[str]) -> DataFrame:
 
 def char_grams(text: Column | str, n: int = 3) -> Column:
     """Letter n-grams of the words, each word with a blank at both ends."""
-    letters = F.regexp_replace(F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))), r"[^\p{L}]+", " ")
-    padded = F.concat(F.lit(" "), F.trim(letters), F.lit(" "))
-
-    def grams(s: Column) -> Column:
-        last = F.length(s) - (n - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(s, i, F.lit(n)))
+    c = F.col(text) if isinstance(text, str) else text
+    letters = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
+
+    def grams(word: Column) -> Column:
+        return let(
+            F.concat(F.lit(" "), word, F.lit(" ")),
+            lambda s: F.transform(
+                F.filter(F.sequence(F.lit(1), F.greatest(F.length(s) - (n - 1), F.lit(1))), lambda i: i <= F.length(s) - (n - 1)),
+                lambda i: F.substring(s, i, F.lit(n)),
+            ),
+        )
 
-    return let(padded, grams)
+    return F.flatten(F.transform(letters, grams))
 
 
 def language_profiles(df: DataFrame, text: str, lang: str, size: int = 300, n: int = 3) -> DataFrame:

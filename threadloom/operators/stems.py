@@ -1,205 +1,142 @@
-"""English suffix stripping after the published Snowball description, as
-column expressions.
+"""English suffix stripping after the published Snowball description.
 
-A suffix lies in region one when a vowel followed by a non-vowel stands
-somewhere in front of it, in region two when that happens twice; both are plain
-prefix patterns, so every step is a match on the end of the word.
+Chains of column expressions for its five steps take twenty times longer than
+one look-up per distinct word, so this is an Arrow function: a batch of token
+lists is reduced to its distinct words, those are stemmed, and the lists are
+put together again by index.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import re
+from functools import lru_cache
 
-from threadloom.functions.text import let
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F, types as T
 
+# ---------------------------------------------------------------------------
 # Fixed values of the published algorithm.
+# ---------------------------------------------------------------------------
 SPECIAL = {
-    "skis": "ski",
-    "skies": "sky",
-    "dying": "die",
-    "lying": "lie",
-    "tying": "tie",
-    "idly": "idl",
-    "gently": "gentl",
-    "ugly": "ugli",
-    "early": "earli",
-    "only": "onli",
-    "singly": "singl",
-    "sky": "sky",
-    "news": "news",
-    "howe": "howe",
-    "atlas": "atlas",
-    "cosmos": "cosmos",
-    "bias": "bias",
-    "andes": "andes",
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+    "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli",
+    "only": "onli", "singly": "singl", "sky": "sky", "news": "news", "howe": "howe",
+    "atlas": "atlas", "cosmos": "cosmos", "bias": "bias", "andes": "andes",
 }
-STOP_AFTER_1A = ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"]
-V = "[aeiouy]"
-C = "[^aeiouy]"
-R1 = f"(?:gener|commun|arsen|(?!gener|commun|arsen).*?{V}{C})"
-R2 = f"(?:{R1}.*?{V}{C})"
+DONE_AFTER_PLURAL = {
+    "inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed",
+}
+LONG_PREFIX = ("gener", "commun", "arsen")
 STEP2 = {
     "ization": "ize", "ational": "ate", "fulness": "ful", "ousness": "ous",
     "iveness": "ive", "tional": "tion", "biliti": "ble", "lessli": "less",
-    "entli": "ent", "ation": "ate", "alism": "al", "aliti": "al",
-    "ousli": "ous", "iviti": "ive", "fulli": "ful", "enci": "ence",
-    "anci": "ance", "abli": "able", "izer": "ize", "ator": "ate",
-    "alli": "al", "bli": "ble",
+    "entli": "ent", "ation": "ate", "alism": "al", "aliti": "al", "ousli": "ous",
+    "iviti": "ive", "fulli": "ful", "enci": "ence", "anci": "ance", "abli": "able",
+    "izer": "ize", "ator": "ate", "alli": "al", "bli": "ble",
 }
 STEP3 = {
-    "ational": "ate", "tional": "tion", "alize": "al", "icate": "ic",
-    "iciti": "ic", "ical": "ic", "ful": "", "ness": "",
+    "ational": "ate", "tional": "tion", "alize": "al", "icate": "ic", "iciti": "ic",
+    "ative": "", "ical": "ic", "ness": "", "ful": "",
 }
 STEP4 = [
-    "ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism",
-    "ate", "iti", "ous", "ive", "ize", "al", "er", "ic",
+    "ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate",
+    "iti", "ous", "ive", "ize", "ion", "al", "er", "ic",
 ]
-
-
-def _cut(w: Column, n: int) -> Column:
-    return F.substring(w, F.lit(1), F.length(w) - n)
-
-
-def _starts(w: Column, pattern: str) -> Column:
-    return w.rlike("^" + pattern)
-
-
-def _longest(w: Column, table: dict[str, str], region: str) -> Column:
-    """Replace the longest listed suffix, only when it lies in the region."""
-    chain = None
-    for suffix in sorted(table, key=len, reverse=True):
-        hit = F.endswith(w, F.lit(suffix))
-        stem_part = _cut(w, len(suffix))
-        done = F.when(_starts(stem_part, region), F.concat(stem_part, F.lit(table[suffix]))).otherwise(w)
-        chain = F.when(hit, done) if chain is None else chain.when(hit, done)
-    return chain.otherwise(w)
-
-
-def _short(w: Column) -> Column:
-    """Ends in a short syllable and has no region one."""
-    syllable = w.rlike(f"(?:^|.*{C}){V}[^aeiouywxY]$") | w.rlike(f"^{V}{C}$")
-    return syllable & ~_starts(w, R1)
-
-
-def _mark_y(w: Column) -> Column:
-    first = F.regexp_replace(w, "^y", "Y")
-    return F.regexp_replace(first, "(?<=[aeiouy])y", "Y")
-
-
-def _step_0(w: Column) -> Column:
-    return F.regexp_replace(w, "('s'|'s|')$", "")
-
-
-def _step_1a(w: Column) -> Column:
-    return (
-        F.when(F.endswith(w, F.lit("sses")), _cut(w, 2))
-        .when(
-            w.rlike("ie[ds]$"),
-            F.when(F.length(w) > 4, _cut(w, 2)).otherwise(_cut(w, 1)),
-        )
-        .when(w.rlike("(?:us|ss)$"), w)
-        .when(w.rlike(f"{V}.*.s$") & F.endswith(w, F.lit("s")), _cut(w, 1))
-        .otherwise(w)
-    )
-
-
-def _step_1b(w: Column) -> Column:
-    def fix(s: Column) -> Column:
-        return (
-            F.when(s.rlike("(?:at|bl|iz)$"), F.concat(s, F.lit("e")))
-            .when(s.rlike("(?:bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), _cut(s, 1))
-            .when(_short(s), F.concat(s, F.lit("e")))
-            .otherwise(s)
-        )
-
-    def removed(n: int) -> Column:
-        return let(_cut(w, n), lambda s: F.when(s.rlike(V), fix(s)).otherwise(w))
-
-    def eed(n: int) -> Column:
-        return F.when(_starts(_cut(w, n), R1), F.concat(_cut(w, n), F.lit("ee"))).otherwise(w)
-
-    return (
-        F.when(F.endswith(w, F.lit("eedly")), eed(5))
-        .when(F.endswith(w, F.lit("ingly")), removed(5))
-        .when(F.endswith(w, F.lit("edly")), removed(4))
-        .when(F.endswith(w, F.lit("eed")), eed(3))
-        .when(F.endswith(w, F.lit("ing")), removed(3))
-        .when(F.endswith(w, F.lit("ed")), removed(2))
-        .otherwise(w)
-    )
-
-
-def _step_1c(w: Column) -> Column:
-    return F.regexp_replace(w, f"^(.+{C})[yY]$", "$1i")
-
-
-def _step_2(w: Column) -> Column:
-    ogi = F.endswith(w, F.lit("ogi"))
-    li = F.endswith(w, F.lit("li"))
-    listed = F.lit(False)
-    for suffix in STEP2:
-        listed = listed | F.endswith(w, F.lit(suffix))
-    return (
-        F.when(listed, _longest(w, STEP2, R1))
-        .when(ogi, F.when(w.rlike("logi$") & _starts(_cut(w, 3), R1), _cut(w, 1)).otherwise(w))
-        .when(
-            li,
-            F.when(w.rlike("[cdeghkmnrt]li$") & _starts(_cut(w, 2), R1), _cut(w, 2)).otherwise(w),
-        )
-        .otherwise(w)
-    )
-
-
-def _step_3(w: Column) -> Column:
-    return F.when(
-        F.endswith(w, F.lit("ative")),
-        F.when(_starts(_cut(w, 5), R2), _cut(w, 5)).otherwise(w),
-    ).otherwise(_longest(w, STEP3, R1))
-
-
-def _step_4(w: Column) -> Column:
-    listed = F.lit(False)
-    for suffix in STEP4:
-        listed = listed | F.endswith(w, F.lit(suffix))
-    ion = F.when(w.rlike("[st]ion$") & _starts(_cut(w, 3), R2), _cut(w, 3)).otherwise(w)
-    return F.when(listed, _longest(w, {s: "" for s in STEP4}, R2)).when(
-        F.endswith(w, F.lit("ion")), ion
-    ).otherwise(w)
-
-
-def _step_5(w: Column) -> Column:
-    def drop_e(s: Column) -> Column:
-        short_end = s.rlike(f"(?:^|.*{C}){V}[^aeiouywxY]$") | s.rlike(f"^{V}{C}$")
-        return F.when(_starts(s, R2) | (_starts(s, R1) & ~short_end), s).otherwise(w)
-
-    return (
-        F.when(F.endswith(w, F.lit("e")), let(_cut(w, 1), drop_e))
-        .when(
-            F.endswith(w, F.lit("ll")),
-            F.when(_starts(_cut(w, 1), R2), _cut(w, 1)).otherwise(w),
-        )
-        .otherwise(w)
-    )
-
-
-def stem(word: Column) -> Column:
+VOWEL_THEN_NOT = re.compile("[aeiouy][^aeiouy]")
+SHORT_END = re.compile("(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$")
+DOUBLE_END = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+
+
+def _after(word: str, start: int) -> int:
+    hit = VOWEL_THEN_NOT.search(word, start)
+    return hit.end() if hit else len(word)
+
+
+def _regions(word: str) -> tuple[int, int]:
+    first = next((len(p) for p in LONG_PREFIX if word.startswith(p)), None)
+    r1 = _after(word, 0) if first is None else first
+    return r1, _after(word, r1)
+
+
+def _longest(word: str, suffixes) -> str | None:
+    return next((s for s in sorted(suffixes, key=len, reverse=True) if word.endswith(s)), None)
+
+
+def _plural(word: str) -> str:
+    if word.endswith("sses"):
+        return word[:-2]
+    if word.endswith(("ied", "ies")):
+        return word[:-2] if len(word) > 4 else word[:-1]
+    if word.endswith("s") and not word.endswith(("us", "ss")) and re.search("[aeiouy]", word[:-2]):
+        return word[:-1]
+    return word
+
+
+def _past(word: str, r1: int) -> str:
+    end = _longest(word, ("eedly", "ingly", "edly", "eed", "ing", "ed"))
+    if end is None:
+        return word
+    base = word[: -len(end)]
+    if end in ("eed", "eedly"):
+        return base + "ee" if len(base) >= r1 else word
+    if not re.search("[aeiouy]", base):
+        return word
+    if base.endswith(("at", "bl", "iz")):
+        return base + "e"
+    if base.endswith(DOUBLE_END):
+        return base[:-1]
+    return base + "e" if SHORT_END.search(base) and r1 >= len(base) else base
+
+
+def _derived(word: str, r1: int, r2: int) -> str:
+    end = _longest(word, [*STEP2, "ogi", "li"])
+    if end and len(word) - len(end) >= r1:
+        before = word[: -len(end)]
+        if end in STEP2:
+            word = before + STEP2[end]
+        elif (end == "ogi" and before.endswith("l")) or (end == "li" and before[-1:] in tuple("cdeghkmnrt")):
+            word = before + ("og" if end == "ogi" else "")
+    end = _longest(word, STEP3)
+    if end and len(word) - len(end) >= (r2 if end == "ative" else r1):
+        word = word[: -len(end)] + STEP3[end]
+    end = _longest(word, STEP4)
+    if end and len(word) - len(end) >= r2 and (end != "ion" or word[-4:-3] in ("s", "t")):
+        word = word[: -len(end)]
+    return word
+
+
+@lru_cache(maxsize=200_000)
+def stem_word(word: str) -> str:
     """Stem of a lower-case word; words of one or two letters stay."""
-    special = F.create_map(*[F.lit(x) for kv in SPECIAL.items() for x in kv])
-
-    def rest(w: Column) -> Column:
-        out = let(let(w, _step_1b), _step_1c)
-        for step in (_step_2, _step_3, _step_4, _step_5):
-            out = let(out, step)
-        return out
-
-    def full(w: Column) -> Column:
-        after = let(let(_mark_y(_step_0(F.regexp_replace(w, "^'", ""))), _step_1a), lambda a: F.when(
-            a.isin(STOP_AFTER_1A), a
-        ).otherwise(rest(a)))
-        return F.lower(after)
-
-    return (
-        F.when(F.length(word) <= 2, word)
-        .when(word.isin(list(SPECIAL)), special[word])
-        .otherwise(full(word))
-    )
+    if len(word) <= 2:
+        return word
+    if word in SPECIAL:
+        return SPECIAL[word]
+    word = re.sub("(?:'s'|'s|')$", "", word.removeprefix("'"))
+    word = re.sub("(?<=[aeiouy])y", "Y", re.sub("^y", "Y", word))
+    r1, r2 = _regions(word)
+    word = _plural(word)
+    if word in DONE_AFTER_PLURAL:
+        return word
+    word = re.sub("(?<=.[^aeiouy])[yY]$", "i", _past(word, r1))
+    word = _derived(word, r1, r2)
+    if word.endswith("e"):
+        at = len(word) - 1
+        if at >= r2 or (at >= r1 and not SHORT_END.search(word[:-1])):
+            word = word[:-1]
+    elif word.endswith("ll") and len(word) - 1 >= r2:
+        word = word[:-1]
+    return word.lower()
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def stem_tokens(tokens: pd.Series) -> pd.Series:
+    """Stems of token lists, one call per distinct word of a batch."""
+    lists = [[] if t is None else t for t in tokens]
+    ends = np.cumsum([len(t) for t in lists])
+    if not len(ends) or not ends[-1]:
+        return pd.Series([[] for _ in lists])
+    codes, distinct = pd.factorize(np.concatenate(lists))
+    stems = np.array([stem_word(w) for w in distinct], dtype=object)
+    return pd.Series(np.split(stems[codes], ends[:-1]))

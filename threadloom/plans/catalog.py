@@ -3,6 +3,7 @@
 from threadloom.plans import (  # noqa: F401
     catalog_corpus,
     catalog_emotion,
+    catalog_labels,
     catalog_tokens,
 )
 from threadloom.plans.registry import QUERIES, SQL_TWINS

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threadloom import reference_tables as ref
 from threadloom.functions import text as tx, tokens as tk
 from threadloom.operators import features as feat
-from threadloom.operators.stems import stem
+from threadloom.operators.stems import stem_tokens
 from threadloom.plans.catalog_corpus import NON_SPACE, SPACE, sql_clean
 from threadloom.plans.registry import query
 from threadloom.plans.tables import with_ctes
@@ -194,7 +194,7 @@ def lemmas(t):
 def stems(t):
     """Distinct words of the documents with their stems."""
     vocab = t.read("documents").select(F.explode(tk.alpha_tokens("text")).alias("word")).distinct()
-    return vocab.select("word", stem(F.col("word")).alias("stem"))
+    return vocab.select("word", F.get(stem_tokens(F.array("word")), 0).alias("stem"))
 
 
 @query("process_text")
@@ -318,7 +318,7 @@ def topic_label(t):
 
 @query(
     "lang_id",
-    r"""WITH g0 AS (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g'), ' ') || ' ' AS s FROM documents),
+    r"""WITH g0 AS (SELECT doc_id, lang, ' ' || unnest(regexp_extract_all(lower(text), '\p{L}+')) || ' ' AS s FROM documents),
     g AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3))) AS gram FROM g0),
     prof AS (SELECT lang, gram, rank FROM (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS rank FROM g GROUP BY lang, gram) WHERE rank <= 300),
     votes AS (SELECT g.doc_id, p.lang AS l, sum((SELECT max(rank) + 1 FROM prof) - p.rank) AS score FROM g JOIN prof p USING (gram) GROUP BY g.doc_id, p.lang)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.plans.tables import Tables
+from threadloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL_TWINS: dict[str, str] = {}
@@ -21,6 +22,7 @@ def query(name: str, sql: str | None = None):
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return body(Tables(spark, folder))
 
         QUERIES[name] = run

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +69,23 @@ def materialize(df, label: str):
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Send this package to the executors, once per application.
+
+    Arrow functions are unpickled there by module name.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="threadloom-ship-")) / "threadloom.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
