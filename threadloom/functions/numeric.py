@@ -158,26 +158,38 @@ def running_totals(
     sums: dict[str, str],
     group: list[str] | None = None,
     descending: bool = True,
-    buckets: int = 256,
 ) -> DataFrame:
     """Running sums over the distinct values of ``order``, split into ranges.
 
     ``df`` holds one row per (group, order value). The cut points are
     approximate quantiles of the values, so each range is small whatever the
     distribution; the sums themselves are exact for any cut points. Only the
-    range totals (at most ``buckets`` per group) go through one ordered window.
+    range totals (at most 256 per group) go through one ordered window. A value
+    finds its range in two steps of sixteen cut points each.
     """
     group = group or []
-    points = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), points, 10000).alias("cuts"))
-    placed = df.withColumn("_cuts", cuts.scalar()).withColumn(
-        "_range",
-        F.aggregate(
-            F.coalesce(F.col("_cuts"), F.array().cast("array<double>")),
-            F.lit(0),
-            lambda n, c: n + F.when(F.col(order) > c, 1).otherwise(0),
-        ),
-    ).drop("_cuts")
+    step = 16
+    points = [i / (step * step) for i in range(1, step * step)]
+    quantiles = F.percentile_approx(F.col(order).cast("double"), points, 10000)
+    coarse = [i * step for i in range(1, step)]
+    cuts = df.agg(F.coalesce(quantiles, F.array().cast("array<double>")).alias("q")).select(
+        F.struct("q", F.array(*[F.try_element_at("q", F.lit(i)) for i in coarse]).alias("c")).alias("s")
+    )
+
+    def below(points: Column) -> Column:
+        return F.aggregate(
+            points, F.lit(0), lambda n, c: n + F.when(F.col(order) > c, 1).otherwise(0)
+        )
+
+    placed = (
+        df.withColumn("_cuts", cuts.scalar())
+        .withColumn("_coarse", below(F.col("_cuts.c")))
+        .withColumn(
+            "_range",
+            F.col("_coarse") * step + below(F.slice("_cuts.q", F.col("_coarse") * step + 1, step)),
+        )
+        .drop("_cuts", "_coarse")
+    )
     key = F.col(order).desc() if descending else F.col(order).asc()
     range_key = F.col("_range").desc() if descending else F.col("_range").asc()
     cells = [*group, "_range"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.functions.numeric import argmax, negative_log_likelihood, running_totals
+from threadloom.session import materialize
 
 
 def score_counts(df: DataFrame, label: str, score: str, group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
@@ -22,7 +23,11 @@ def score_counts(df: DataFrame, label: str, score: str, group: list[str] | None
 
 def curve(df: DataFrame, label: str, score: str, group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
     """True and false positives at every distinct score, with the totals."""
-    counts = score_counts(df, label, score, group, weight)
+    return curve_of(score_counts(df, label, score, group, weight), group)
+
+
+def curve_of(counts: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """The same from counts per score."""
     ran = running_totals(counts, "threshold", {"pos": "tp", "neg": "fp"}, group)
     if not group:
         totals = counts.agg(
@@ -37,23 +42,32 @@ def curve(df: DataFrame, label: str, score: str, group: list[str] | None = None,
     return ran.join(totals, group)
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
-    """Area under the ROC curve; tied scores share their rank.
-
-    Each score's negatives are beaten by the positives above it, and half by
-    the positives tied with it.
-    """
-    c = curve(df, label, score, group, weight)
+def _auc() -> Column:
+    """Each score's negatives are beaten by the positives above it, and half by
+    the positives tied with it."""
     won = F.sum(F.col("neg") * ((F.col("tp") - F.col("pos")).cast("double") + F.col("pos") / 2.0))
     pairs = F.max("total_pos").cast("double") * F.max("total_neg")
-    return c.groupBy(*(group or [])).agg((won / F.nullif(pairs, F.lit(0.0))).alias("auc"))
+    return (won / F.nullif(pairs, F.lit(0.0))).alias("auc")
+
+
+def _ap() -> Column:
+    gain = F.col("pos") / F.nullif(F.col("total_pos"), F.lit(0)) * F.col("tp") / (F.col("tp") + F.col("fp"))
+    return F.sum(F.when(F.col("pos") > 0, gain).otherwise(0.0)).alias("ap")
+
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
+    """Area under the ROC curve; tied scores share their rank."""
+    return curve(df, label, score, group, weight).groupBy(*(group or [])).agg(_auc())
 
 
 def avg_precision(df: DataFrame, label: str = "label", score: str = "score", group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
     """Sum of precision times the step in recall over the distinct scores."""
-    c = curve(df, label, score, group, weight)
-    gain = F.col("pos") / F.nullif(F.col("total_pos"), F.lit(0)) * F.col("tp") / (F.col("tp") + F.col("fp"))
-    return c.groupBy(*(group or [])).agg(F.sum(F.when(F.col("pos") > 0, gain).otherwise(0.0)).alias("ap"))
+    return curve(df, label, score, group, weight).groupBy(*(group or [])).agg(_ap())
+
+
+def measure(df: DataFrame, label: str = "label", score: str = "score", group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
+    """AUC and average precision from one curve; one row, or one per group."""
+    return curve(df, label, score, group, weight).groupBy(*(group or [])).agg(_auc(), _ap())
 
 
 def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -196,19 +210,18 @@ def bootstrap(df: DataFrame, id_col: str, label: str = "label", score: str = "sc
 
     A row enters a replicate with a Poisson(1) weight drawn from a hash of its
     id, the usual way to resample rows that are spread over a cluster. Weights
-    are summed per score on the map side before anything is shuffled.
+    are summed per score on the map side before anything is shuffled, and the
+    sums are written once for the passes after it.
     """
-    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), "replicate", F.lit(seed))), 1, 13), 16, 10).cast("double") / float(16**13)
+    u = F.pmod(F.xxhash64(F.col(id_col), F.col("replicate"), F.lit(seed)), F.lit(2**53)) / float(2**53)
     draws = (
         df.select(id_col, label, score, F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("replicate"))
         .withColumn("_u", u)
-        .withColumn("_w", sum((F.when(F.col("_u") >= p, 1).otherwise(0) for p in POISSON_STEPS[1:]), F.when(F.col("_u") >= POISSON_STEPS[0], 1).otherwise(0)))
-        .where(F.col("_w") > 0)
+        .withColumn("_w", F.aggregate(F.array(*map(F.lit, POISSON_STEPS)), F.lit(0), lambda n, p: n + F.when(F.col("_u") >= p, 1).otherwise(0)))
     )
-    weight = F.col("_w")
-    auc = roc_auc(draws, label, score, ["replicate"], weight)
-    ap = avg_precision(draws, label, score, ["replicate"], weight)
-    return auc.join(ap, "replicate")
+    counts = score_counts(draws, label, score, ["replicate"], F.col("_w"))
+    counts = materialize(counts.where(F.col("pos") + F.col("neg") > 0), "bootstrap-counts")
+    return curve_of(counts, ["replicate"]).groupBy("replicate").agg(_auc(), _ap())
 
 
 def bootstrap_ci(df: DataFrame, id_col: str, label: str = "label", score: str = "score", n_boot: int = 1000, seed: int = 42) -> DataFrame:

@@ -187,15 +187,6 @@ def apply_calibration(model: IsotonicRegressionModel, df: DataFrame, score: str
     )
 
 
-def measure(scored: DataFrame, label: str = "label", score: str = "score", group: list[str] | None = None) -> DataFrame:
-    """AUC and average precision; one row, or one per group."""
-    auc = evaluate.roc_auc(scored, label, score, group)
-    ap = evaluate.avg_precision(scored, label, score, group)
-    if group:
-        return auc.join(ap, group)
-    return auc.withColumn("ap", ap.scalar())
-
-
 def tune_lr(df: DataFrame, id_col: str, grid: LogRegGrid = GRID_DEFAULT, label: str = "label") -> DataFrame:
     """Grid search over repeated stratified folds.
 
@@ -219,7 +210,7 @@ def tune_lr(df: DataFrame, id_col: str, grid: LogRegGrid = GRID_DEFAULT, label:
                     )
                     parts = held if parts is None else parts.unionByName(held)
     scored = materialize(parts, "fold-scores")
-    per_fold = measure(scored, label, "score", ["c", "penalty", "repeat", "fold"])
+    per_fold = evaluate.measure(scored, label, "score", ["c", "penalty", "repeat", "fold"])
     return rank_configs(
         per_fold.groupBy("c", "penalty").agg(
             F.avg("auc").alias("auc_mean"),
@@ -306,7 +297,7 @@ def _holdout(data: DataFrame, id_col: str, seed: int, max_iter: int, forest: For
     )
     train = split.where("split = 'train'")
     model = train_rf(train, forest) if forest else train_lr(train, max_iter=max_iter)
-    return measure(with_score(model, split.where("split = 'test'")))
+    return evaluate.measure(with_score(model, split.where("split = 'test'")))
 
 
 def compare_sources(sets: dict[str, DataFrame], id_col: str, forest: ForestConfig = FOREST_DEFAULT, seed: int = 42) -> DataFrame:
@@ -325,7 +316,7 @@ def compare_sources(sets: dict[str, DataFrame], id_col: str, forest: ForestConfi
             F.struct(F.count(F.lit(1)).alias("n"), F.avg(F.col("label").cast("double")).alias("rate")).alias("t")
         ).scalar()
         best = evaluate.best_threshold(scored).select("threshold").scalar()
-        runs[name] = measure(scored).withColumn("_t", totals).select(
+        runs[name] = evaluate.measure(scored).withColumn("_t", totals).select(
             F.col("_t.n").alias("n"), F.col("_t.rate").alias("pos_rate"), "auc", "ap", best.alias("threshold")
         )
     return rank_configs(topic_ops.compare_configs(runs, "source"), "auc", "ap")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from threadloom.config import ForestConfig, LogRegGrid, NmfConfig, VocabConfig
@@ -46,19 +47,22 @@ def r6(df, *columns):
 @query("feature_vectors")
 def feature_vectors(t):
     rows, _ = feature_rows(t)
-    return rows.select("doc_id", "label", F.length(F.to_json("features")).alias("json_len"))
+    dense = vector_to_array("features")
+    return rows.select(
+        "doc_id", "label", F.size(dense).alias("width"), F.size(F.filter(dense, lambda x: x != 0)).alias("filled")
+    )
 
 
 @query("train_lr")
 def train_lr(t):
     rows, _ = feature_rows(t)
-    return r6(models.measure(models.with_score(models.train_lr(rows, 3.0, max_iter=STEPS), rows)), "auc", "ap")
+    return r6(ev.measure(models.with_score(models.train_lr(rows, 3.0, max_iter=STEPS), rows)), "auc", "ap")
 
 
 @query("train_rf")
 def train_rf(t):
     rows, _ = feature_rows(t)
-    return r6(models.measure(models.with_score(models.train_rf(rows, FOREST), rows)), "auc", "ap")
+    return r6(ev.measure(models.with_score(models.train_rf(rows, FOREST), rows)), "auc", "ap")
 
 
 @query("tune_lr")
