@@ -45,22 +45,43 @@ def build_lexicon(rows: DataFrame, emotions: list[str] | None = None) -> DataFra
 
 
 def marked_tokens(tokens: Column, window: int = 3) -> Column:
-    """Each token with whether a negator or intensifier stands just before it."""
+    """Each token with whether a negator or intensifier stands just before it.
+
+    Every token becomes a two-bit code once; the codes shifted by one to
+    ``window`` places are joined bit by bit.
+    """
 
     def mark(arr: Column) -> Column:
-        def one(word: Column, i: Column) -> Column:
-            start = F.greatest(i - window, F.lit(0))
-            before = F.slice(arr, start + 1, i - start)
-            return F.struct(
-                i.alias("pos"),
-                word.alias("word"),
-                F.exists(before, lambda w: one_of(w, ref.NEGATORS)).alias("negated"),
-                F.exists(before, lambda w: one_of(w, ref.INTENSIFIERS)).alias("intensified"),
-            )
+        codes = F.transform(
+            arr,
+            lambda w: F.when(one_of(w, ref.NEGATORS), 1).when(one_of(w, ref.INTENSIFIERS), 2).otherwise(0),
+        )
+
+        def near(c: Column) -> Column:
+            out = None
+            for step in range(1, window + 1):
+                kept = F.slice(c, 1, F.greatest(F.size(c) - step, F.lit(0)))
+                shifted = F.concat(F.array_repeat(F.lit(0), step), kept)
+                out = shifted if out is None else F.zip_with(out, shifted, _either)
+            return out
+
+        before = let(codes, near)
+        return F.filter(F.zip_with(arr, before, lambda w, m: F.struct(w.alias("word"), m.alias("mods"))), lambda s: s["word"].isNotNull())
+
+    marked = let(tokens, mark)
+    return F.transform(
+        marked,
+        lambda s, i: F.struct(
+            i.alias("pos"),
+            s["word"].alias("word"),
+            (s["mods"].bitwiseAND(1) > 0).alias("negated"),
+            (s["mods"].bitwiseAND(2) > 0).alias("intensified"),
+        ),
+    )
 
-        return F.transform(arr, one)
 
-    return let(tokens, mark)
+def _either(a: Column, b: Column) -> Column:
+    return F.coalesce(a, F.lit(0)).bitwiseOR(F.coalesce(b, F.lit(0)))
 
 
 def matches(
@@ -71,19 +92,29 @@ def matches(
     window: int = 3,
     intensifier_weight: float = 1.5,
 ) -> DataFrame:
-    """One row per token (and one for an empty document) with its emotions.
+    """One row per matched token with its emotions, and one empty row per document.
 
     ``weight`` is 1, times the intensifier weight once, times -1 once when
-    negated. Tokens without emotions keep a null array.
+    negated. The empty row (position -1, null emotions) meets an empty word put
+    into the lexicon, so an inner join drops unmatched tokens at once and still
+    keeps every document.
     """
+    none = F.array(
+        F.struct(
+            F.lit(-1).alias("pos"), F.lit("").alias("word"),
+            F.lit(False).alias("negated"), F.lit(False).alias("intensified"),
+        )
+    )
     marked = df.select(F.col(id_col), marked_tokens(tokens, window).alias("_t"))
     rows = marked.select(
-        id_col, F.size("_t").alias("n_tokens"), F.explode_outer("_t").alias("_m")
+        id_col, F.size("_t").alias("n_tokens"), F.explode(F.concat("_t", none)).alias("_m")
     ).select(id_col, "n_tokens", "_m.*")
     weight = F.when(F.col("intensified"), F.lit(float(intensifier_weight))).otherwise(1.0) * F.when(
         F.col("negated"), -1.0
     ).otherwise(1.0)
-    return rows.withColumn("weight", weight).join(small(lexicon), "word", "left")
+    blank = lexicon.sparkSession.createDataFrame([("", None)], "word string, emotions array<string>")
+    table = lexicon.select("word", "emotions").unionByName(blank)
+    return rows.join(small(table), "word").withColumn("weight", weight)
 
 
 def emotion_weights(

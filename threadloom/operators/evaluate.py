@@ -22,8 +22,12 @@ def score_counts(df: DataFrame, label: str, score: str, group: list[str] | None
 
 
 def curve(df: DataFrame, label: str, score: str, group: list[str] | None = None, weight: Column | None = None) -> DataFrame:
-    """True and false positives at every distinct score, with the totals."""
-    return curve_of(score_counts(df, label, score, group, weight), group)
+    """True and false positives at every distinct score, with the totals.
+
+    The counts per score are written once: cut points, range totals and running
+    sums all read them, and the rows behind them are often fresh predictions.
+    """
+    return curve_of(materialize(score_counts(df, label, score, group, weight), "score-counts"), group)
 
 
 def curve_of(counts: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -219,9 +223,7 @@ def bootstrap(df: DataFrame, id_col: str, label: str = "label", score: str = "sc
         .withColumn("_u", u)
         .withColumn("_w", F.aggregate(F.array(*map(F.lit, POISSON_STEPS)), F.lit(0), lambda n, p: n + F.when(F.col("_u") >= p, 1).otherwise(0)))
     )
-    counts = score_counts(draws, label, score, ["replicate"], F.col("_w"))
-    counts = materialize(counts.where(F.col("pos") + F.col("neg") > 0), "bootstrap-counts")
-    return curve_of(counts, ["replicate"]).groupBy("replicate").agg(_auc(), _ap())
+    return measure(draws.where(F.col("_w") > 0), label, score, ["replicate"], F.col("_w"))
 
 
 def bootstrap_ci(df: DataFrame, id_col: str, label: str = "label", score: str = "score", n_boot: int = 1000, seed: int = 42) -> DataFrame:

@@ -268,7 +268,7 @@ def stop_table(spark, *lists: list[str]) -> DataFrame:
 def char_grams(text: Column | str, n: int = 3) -> Column:
     """Letter n-grams of the words, each word with a blank at both ends."""
     c = F.col(text) if isinstance(text, str) else text
-    letters = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
+    letters = letter_words(c)
 
     def grams(word: Column) -> Column:
         return let(
@@ -282,12 +282,25 @@ def char_grams(text: Column | str, n: int = 3) -> Column:
     return F.flatten(F.transform(letters, grams))
 
 
+def letter_words(text: Column | str) -> Column:
+    c = F.col(text) if isinstance(text, str) else text
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
+
+
 def language_profiles(df: DataFrame, text: str, lang: str, size: int = 300, n: int = 3) -> DataFrame:
-    """The most frequent letter n-grams per language with their rank."""
+    """The most frequent letter n-grams per language with their rank.
+
+    Words are counted first; only distinct words are cut into n-grams.
+    """
+    words = (
+        df.select(lang, F.explode(letter_words(text)).alias("word"))
+        .groupBy(lang, "word")
+        .agg(F.count(F.lit(1)).alias("_w"))
+    )
     counts = (
-        df.select(lang, F.explode(char_grams(text, n)).alias("gram"))
+        words.select(lang, "_w", F.explode(char_grams("word", n)).alias("gram"))
         .groupBy(lang, "gram")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
     )
     best = W.partitionBy(lang).orderBy(F.col("_n").desc(), F.col("gram"))
     return (
@@ -302,7 +315,9 @@ def detect_lang(df: DataFrame, id_col: str, text: str, profiles: DataFrame, n: i
 
     Profiles hold a fixed number of n-grams per language, so they are small
     unless the language list grows; their size is checked before broadcasting.
-    A text sharing nothing with any profile gets null.
+    The n-grams of a document are scored where they are cut, and leave the task
+    as one number per language. A text sharing nothing with any profile has no
+    row.
     """
     size = profiles.agg((F.max("rank") + 1).alias("m")).scalar()
     table = (
@@ -310,17 +325,15 @@ def detect_lang(df: DataFrame, id_col: str, text: str, profiles: DataFrame, n: i
         .groupBy("gram")
         .agg(F.collect_list(F.struct("profile_lang", "_v")).alias("_langs"))
     )
-    grams = df.select(id_col, F.explode(char_grams(text, n)).alias("gram")).groupBy(id_col, "gram").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
     votes = (
-        grams.join(small(table), "gram")
-        .select(id_col, "_n", F.explode("_langs").alias("_l"))
-        .groupBy(id_col, F.col("_l.profile_lang").alias("_lang"))
-        .agg(F.sum(F.col("_n") * F.col("_l._v")).alias("_score"))
+        df.select(id_col, F.explode(char_grams(text, n)).alias("gram"))
+        .join(small(table), "gram")
+        .select(id_col, F.inline("_langs"))
+        .groupBy(id_col, "profile_lang")
+        .agg(F.sum("_v").alias("_score"))
     )
     return votes.groupBy(id_col).agg(
-        F.min_by("_lang", F.struct(-F.col("_score"), F.col("_lang"))).alias(out)
+        F.min_by("profile_lang", F.struct(-F.col("_score"), F.col("profile_lang"))).alias(out)
     )
 
 

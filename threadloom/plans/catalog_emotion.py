@@ -28,7 +28,7 @@ def lexicon(t):
 
 
 def framed(t):
-    return t.read("documents").select(
+    return t.texts().select(
         "doc_id",
         F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "123 456")
         .otherwise(F.concat(F.lit(HEAD), "text", F.lit(TAIL))).alias("text"),

@@ -22,7 +22,7 @@ STEPS = 60
 def training_rows(t):
     """Labelled documents with vectors of a topic model over all documents."""
     docs = materialize(
-        t.read("documents").select("doc_id", F.col("text").alias("text_all"), tk.simple_tokens("text").alias("toks")),
+        t.texts().select("doc_id", F.col("text").alias("text_all"), tk.simple_tokens("text").alias("toks")),
         "model-docs",
     )
     model = models.fit_topics(docs, "doc_id", "toks", None, VOCAB, NMF)
@@ -124,7 +124,7 @@ def contributions(t):
     rows, model = feature_rows(t)
     lr = models.train_lr(rows, 3.0, max_iter=STEPS)
     wrong = ev.errors(models.with_score(lr, rows), 0.5).select("doc_id")
-    docs = t.read("documents").select("doc_id", tk.simple_tokens("text").alias("toks"))
+    docs = t.texts().select("doc_id", tk.simple_tokens("text").alias("toks"))
     terms = feat.model_terms(docs.join(wrong, "doc_id", "left_semi"), "doc_id", "toks", None, VOCAB)
     weights = feat.tfidf(terms, model.vocab, "doc_id")
     return r6(models.contributions(weights, models.coefficient_table(lr, model.vocab), "doc_id"), "contribution")

@@ -29,7 +29,7 @@ CONTRACTION_MAP = "MAP {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in re
 
 
 def decorated(t):
-    return t.read("documents").select(
+    return t.texts().select(
         "doc_id", F.concat("text", F.lit(TAIL), F.col("doc_id").cast("string"), F.lit(" mg")).alias("text")
     )
 
@@ -44,7 +44,7 @@ def size(c, name="n"):
 
 @query("clean_text", f"SELECT doc_id, md5({sql_clean('t')}) AS clean FROM (SELECT doc_id, text || ' See HTTP://a.b/c www.x.org/q u/Bob-1 you/me  OK' AS t FROM documents)")
 def clean_text(t):
-    docs = t.read("documents").select(
+    docs = t.texts().select(
         "doc_id", F.concat("text", F.lit(" See HTTP://a.b/c www.x.org/q u/Bob-1 you/me  OK")).alias("text")
     )
     return docs.select("doc_id", F.md5(tx.clean_text("text")).alias("clean"))
@@ -136,7 +136,7 @@ def simple_tokens(t):
 
 @query("alpha_tokens", "SELECT doc_id, md5(array_to_string(k, ' ')) AS tokens, len(k) AS n FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS k FROM documents)")
 def alpha_tokens(t):
-    return t.read("documents").withColumn("k", tk.alpha_tokens("text")).select("doc_id", joined("k"), size("k"))
+    return t.texts().withColumn("k", tk.alpha_tokens("text")).select("doc_id", joined("k"), size("k"))
 
 
 @query(
@@ -162,7 +162,7 @@ _STOPS = ["the", "and", "of", "le", "la", "der", "ou"]
 )
 def filter_stops(t):
     toks = tk.filter_stops(F.split(F.lower("text"), " "), _STOPS)
-    return t.read("documents").withColumn("k", toks).select("doc_id", joined("k"), size("k"))
+    return t.texts().withColumn("k", toks).select("doc_id", joined("k"), size("k"))
 
 
 @query(
@@ -172,7 +172,7 @@ def filter_stops(t):
 )
 def light_filter(t):
     toks = tk.light_filter(tx.words(F.concat("text", F.lit(" really <cmt> just"))))
-    return t.read("documents").withColumn("k", toks).select("doc_id", joined("k"), size("k"))
+    return t.texts().withColumn("k", toks).select("doc_id", joined("k"), size("k"))
 
 
 @query(
@@ -186,26 +186,26 @@ def lemmas(t):
         [("is", "v", "be"), ("are", "v", "be"), ("having", "v", "have"), ("les", "n", "le"), ("the", "a", "thee"), ("are", "n", "are-unit")],
         "word string, pos string, lemma string",
     )
-    docs = t.read("documents").select("doc_id", tk.alpha_tokens("text").alias("k"))
+    docs = t.texts().select("doc_id", tk.alpha_tokens("text").alias("k"))
     return feat.lemmatize(docs, "doc_id", "k", table).where(F.size("lemmas") > 0).select("doc_id", joined("lemmas"))
 
 
 @query("stems")
 def stems(t):
     """Distinct words of the documents with their stems."""
-    vocab = t.read("documents").select(F.explode(tk.alpha_tokens("text")).alias("word")).distinct()
+    vocab = t.texts().select(F.explode(tk.alpha_tokens("text")).alias("word")).distinct()
     return vocab.select("word", F.get(stem_tokens(F.array("word")), 0).alias("stem"))
 
 
 @query("process_text")
 def process_text(t):
-    out = feat.process_text(t.read("documents"), "text")
+    out = feat.process_text(t.texts(), "text")
     return out.select("doc_id", joined("tokens"), size("tokens"))
 
 
 @query("process_text_tfidf")
 def process_text_tfidf(t):
-    out = feat.process_text_tfidf(t.read("documents"), "doc_id", "text", ["ation"])
+    out = feat.process_text_tfidf(t.texts(), "doc_id", "text", ["ation"])
     return out.select("doc_id", joined("tokens"), size("tokens"))
 
 
@@ -215,7 +215,7 @@ PARA_SRC = "regexp_replace(text, '\\.\\n', '.' || chr(10) || chr(10), 'g')"
 
 
 def with_breaks(t):
-    return t.read("documents").select("doc_id", F.replace("text", F.lit(".\n"), F.lit(".\n\n")).alias("text"))
+    return t.texts().select("doc_id", F.replace("text", F.lit(".\n"), F.lit(".\n\n")).alias("text"))
 
 
 @query(
@@ -268,7 +268,7 @@ def auto_stop_corpus(t):
 def stop_table(t):
     """How often the united stop words occur."""
     table = feat.stop_table(t.spark, ref.CUSTOM_STOPS, ref.DOMAIN_STOPS)
-    words = t.read("documents").select(F.explode(tk.alpha_tokens("text")).alias("word"))
+    words = t.texts().select(F.explode(tk.alpha_tokens("text")).alias("word"))
     return words.join(F.broadcast(table), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -289,7 +289,7 @@ def permalink_id(t):
     link = F.when(i % 2 == 0, F.concat(F.lit("https://h/r/"), "source", F.lit("/comments/"), i.cast("string"), F.lit("/title/"))).otherwise(
         F.concat(F.lit("plain-"), "source")
     )
-    return t.read("documents").select("doc_id", tx.post_id_from_url(link).alias("post_id"))
+    return t.texts().select("doc_id", tx.post_id_from_url(link).alias("post_id"))
 
 
 @query(
@@ -298,7 +298,7 @@ def permalink_id(t):
       length(text) // 3 AS est_tokens, CASE WHEN length(text) > 200 THEN substring(text, 1, 200) || '...' ELSE text END AS preview FROM documents""",
 )
 def smart_truncate(t):
-    return t.read("documents").select(
+    return t.texts().select(
         "doc_id", tx.smart_truncate("text", 100).alias("cut"), tx.estimate_tokens("text").alias("est_tokens"),
         tx.preview("text").alias("preview"),
     )
@@ -313,7 +313,7 @@ def smart_truncate(t):
 )
 def topic_label(t):
     terms = F.slice(tk.alpha_tokens("text"), 1, 8)
-    return t.read("documents").select("doc_id", tx.topic_label(terms, 3, 20).alias("label"))
+    return t.texts().select("doc_id", tx.topic_label(terms, 3, 20).alias("label"))
 
 
 @query(
@@ -325,6 +325,6 @@ def topic_label(t):
     SELECT doc_id, l AS detected FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, l) AS rn FROM votes) WHERE rn = 1""",
 )
 def lang_id(t):
-    docs = t.read("documents")
+    docs = t.texts()
     profiles = materialize(feat.language_profiles(docs, "text", "lang"), "language-profiles")
     return feat.detect_lang(docs, "doc_id", "text", profiles)

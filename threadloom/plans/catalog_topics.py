@@ -25,7 +25,7 @@ def docs(t, min_len: int = 1):
     toks = tk.alpha_tokens("text")
     if min_len > 1:
         toks = F.filter(toks, lambda w: F.length(w) >= min_len)
-    return t.read("documents").select(
+    return t.texts().select(
         "doc_id", "source", (F.col("n_chars") % 6 - 1).cast("int").alias("topic"), toks.alias("toks")
     )
 
@@ -79,7 +79,7 @@ def _terms(t):
 
 
 def _vocab(t, terms):
-    n = t.read("documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+    n = t.texts().agg(F.count(F.lit(1)).alias("n")).scalar()
     return feat.fit_vocab(terms, n, SMALL_VOCAB)
 
 
@@ -172,7 +172,7 @@ NAMES = {0: "alpha", 1: "beta", 2: "gamma"}
 
 def weighted(t):
     w = F.array(F.col("n_chars") % 7 + 1.0, F.col("doc_id") % 5 + 0.0, F.col("n_chars") % 11 + 0.0)
-    return t.read("documents").select("doc_id", "text", w.alias("topics"))
+    return t.texts().select("doc_id", "text", w.alias("topics"))
 
 
 def names(t):
@@ -213,7 +213,7 @@ def topic_stats(t):
 def attach_topics(t):
     """Documents left out of the model keep a null topic."""
     modelled = tp.assign_topics(weighted(t), names(t)).where("conf >= 0.5").select(F.col("doc_id").alias("post_id"), "topic")
-    return merge.attach_topics(t.read("documents").select(F.col("doc_id").alias("post_id")), modelled)
+    return merge.attach_topics(t.texts().select(F.col("doc_id").alias("post_id")), modelled)
 
 
 @query(
@@ -358,7 +358,7 @@ def compare_configs(t):
 )
 def document_info(t):
     assigned = tp.assign_topics(weighted(t), names(t)).drop("text")
-    source = t.read("documents").select("doc_id", "lang", "n_chars")
+    source = t.texts().select("doc_id", "lang", "n_chars")
     return r6(tp.document_info(source, assigned, "doc_id", ["topics", "n_chars"]), "conf")
 
 

@@ -22,10 +22,21 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def texts(self) -> DataFrame:
+        """``documents`` spread over all cores.
+
+        A file with fewer row groups than cores would leave most of them idle
+        in the text functions. A table cut into enough parts stays as it is.
+        """
+        docs = self.read("documents")
+        cores = self.spark.sparkContext.defaultParallelism
+        parts = docs.select("doc_id").rdd.getNumPartitions()
+        return docs.repartition(cores) if parts < cores else docs
+
     def posts(self) -> DataFrame:
         """``documents`` as posts: some deleted, removed or adult by id."""
         i = F.col("doc_id")
-        return self.read("documents").select(
+        return self.texts().select(
             i.cast("string").alias("post_id"),
             F.col("source").alias("subreddit"),
             (F.lit(EPOCH) + (i * 1048573) % YEAR).cast("double").alias("created_utc"),
