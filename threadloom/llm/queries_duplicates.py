@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from threadloom.llm import ngram_join
+from threadloom.llm import ngram_join, substring_dedup
 from threadloom.llm.registry import query, table
 
 
 @query("op9_ngram_join")
 def op9_ngram_join(spark, folder):
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, folder):
+    return substring_dedup.digest_of_kept(table(spark, folder, "documents"))
