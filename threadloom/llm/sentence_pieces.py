@@ -7,8 +7,9 @@ left is looked up; characters that are not in the vocabulary become byte pieces.
 
 No piece of the vocabulary has a word mark behind another character, so pairs never
 form across the start of a word: words are encoded one by one and kept in a cache.
-Every Arrow batch is checked against the library; a text that would differ gets the
-library's ids, and the column ``agrees`` tells it.
+In every Arrow batch, all words that went through the agenda are checked against the
+library. One that differs gets the library's ids in every text of the batch and after,
+and the column ``agrees`` tells which texts held it.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from threadloom.llm.shared import id_and_text, kept_in_worker, pieces_of
 
 MARK = "▁"
-#: Words in a worker's cache, which starts anew when full.
-CACHED = 1 << 18
+#: Words in a worker's cache.
+CACHED = 3 << 18
 
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
 
@@ -52,32 +53,35 @@ class Agenda:
     def symbols(self, text: str) -> list[str]:
         """The symbols that are left when no pair can be joined any more."""
         symbols = list(text)
-        before = list(range(-1, len(symbols) - 1))
-        after = [*range(1, len(symbols)), -1]
-        agenda: list[tuple[float, int, int, int]] = []
-        scores = self.scores
-
-        def propose(left: int, right: int) -> None:
-            if left < 0 or right < 0:
-                return
-            joined = symbols[left] + symbols[right]
-            score = scores.get(joined)
+        n = len(symbols)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        score_of, push, pop = self.scores.get, heapq.heappush, heapq.heappop
+        agenda = []
+        for i in range(n - 1):
+            score = score_of(symbols[i] + symbols[i + 1])
             if score is not None:
-                heapq.heappush(agenda, (-score, left, right, len(joined)))
-
-        for i in range(1, len(symbols)):
-            propose(i - 1, i)
+                agenda.append((-score, i, i + 1, 2))
+        heapq.heapify(agenda)
         while agenda:
-            _, left, right, size = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
+            _, left, right, size = pop(agenda)
+            a, b = symbols[left], symbols[right]
+            if not a or not b or len(a) + len(b) != size:
                 continue  # one of the two has been joined with another symbol meanwhile
-            symbols[left] += symbols[right]
+            joined = symbols[left] = a + b
             symbols[right] = ""
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            propose(before[left], left)
-            propose(left, after[left])
+            follower, previous = after[right], before[left]
+            after[left] = follower
+            if follower >= 0:
+                before[follower] = left
+                pair = joined + symbols[follower]
+                score = score_of(pair)
+                if score is not None:
+                    push(agenda, (-score, left, follower, len(pair)))
+            if previous >= 0:
+                pair = symbols[previous] + joined
+                score = score_of(pair)
+                if score is not None:
+                    push(agenda, (-score, previous, left, len(pair)))
         return [s for s in symbols if s]
 
     def encode(self, text: str) -> list[int]:
@@ -94,16 +98,27 @@ class Agenda:
 
 
 class WordCache(dict):
-    """Ids of words as packed little-endian numbers; unknown words go through the agenda."""
+    """Ids of words as packed little-endian numbers; unknown words go through the agenda.
+
+    When the cache is full it becomes the older half; words that are still met move
+    back from there, the rest goes with the next change.
+    """
 
     def __init__(self, agenda: Agenda, limit: int):
         super().__init__()
-        self.agenda, self.limit = agenda, limit
+        self.agenda, self.half = agenda, limit // 2
+        self.older: dict[str, bytes] = {}
+        self.fresh: list[str] = []
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.limit:
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        packed = self[word] = np.asarray(self.agenda.encode(word), dtype="<u4").tobytes()
+        packed = self.older.get(word)
+        if packed is None:
+            packed = np.array(self.agenda.encode(word), dtype="<u4").tobytes()
+            self.fresh.append(word)
+        self[word] = packed
         return packed
 
 
@@ -116,8 +131,9 @@ class Encoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         agenda = Agenda(self.library)
         self.words = WordCache(agenda, cached)
-        lone_newline = not any("\n" in p and len(p) > 1 for p in agenda.ids)
-        self.cut = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n" if lone_newline else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        if any("\n" in p and len(p) > 1 for p in agenda.ids):
+            raise ValueError("the vocabulary joins lines, so lines cannot be encoded one by one")
+        self.cut = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
         self.begin, self.end = (np.asarray([i], dtype="<u4").tobytes() for i in (self.library.bos_id(), self.library.eos_id()))
 
     def encode(self, text: str) -> bytes:
@@ -127,6 +143,36 @@ class Encoder:
         marked = MARK + text.replace(" ", MARK)
         return b"".join(map(self.words.__getitem__, self.cut.findall(marked)))
 
+    def library_ids(self, words: list[str]) -> list[list[int]]:
+        """What the library makes of words. One that does not begin with a mark is put
+        behind a line break, to which no piece joins it, and the ids up to there are cut off."""
+        led = [w.startswith(MARK) and w != MARK for w in words]
+        texts = [w[1:].replace(MARK, " ") if lead else "\n" + w for w, lead in zip(words, led)]
+        found = self.library.encode(texts, num_threads=1)
+        line = self.library.encode("\n")
+        mark = line[: line.index(self.library.encode("\n\n")[-1])]  # alone, a mark is no text to the library
+        return [mark if w == MARK else ids if lead else ids[len(line):] for w, ids, lead in zip(words, found, led)]
+
+    def check(self) -> set[str]:
+        """Compare the words that went through the agenda since the last check with the library.
+
+        Returns those that differ; they keep the library's ids from now on.
+        """
+        words, self.words.fresh = self.words.fresh, []
+        differing = set()
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            for word, ids in zip(part, self.library_ids(part)):
+                packed = np.array(ids, dtype="<u4").tobytes()
+                if self.words[word] != packed:
+                    differing.add(word)
+                    self.words[word] = packed
+        self.words.fresh = []
+        return differing
+
+    def decode(self, packed: bytes) -> str:
+        return self.library.decode(np.frombuffer(packed, dtype="<u4").tolist())
+
 
 def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                       cached: int = CACHED) -> DataFrame:
@@ -145,17 +191,16 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         for batch in batches:
             for part in pieces_of(batch, 1 << 20):
                 texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
-                wanted = encoder.library.encode(texts, num_threads=1)
+                coded = [encoder.encode(t) for t in texts]
+                differing = encoder.check()
                 rows = []
-                for text, want in zip(texts, wanted):
-                    packed = encoder.encode(text)
-                    library = np.asarray(want, dtype="<u4").tobytes()
-                    same = packed == library
-                    ids = encoder.begin + (packed if same else library) + encoder.end
-                    decoded = encoder.library.decode(want)
+                for text, packed in zip(texts, coded):
+                    same = not differing or differing.isdisjoint(encoder.cut.findall(MARK + text.replace(" ", MARK)))
+                    packed = packed if same else encoder.encode(text)
+                    ids = encoder.begin + packed + encoder.end
                     rows.append((
                         len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                        hashlib.sha256(decoded.encode("utf-8")).hexdigest(), same,
+                        hashlib.sha256(encoder.decode(packed).encode("utf-8")).hexdigest(), same,
                     ))
                 n, ids, back, same = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
