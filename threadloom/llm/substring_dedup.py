@@ -99,6 +99,22 @@ def recurring_anchors(anchors: DataFrame, hot: int) -> DataFrame:
     return materialize(counted.select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
 
 
+def sorted_anchors(recurring: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors in order, with their hot flags, packed by the tasks: 9 bytes each."""
+
+    def pack(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flags = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array([keys.tobytes()], pa.binary()), pa.array([flags.tobytes()], pa.binary())], ["keys", "flags"])
+
+    rows = recurring.select("anchor", "hot").mapInArrow(pack, "keys binary, flags binary").collect()
+    keys = np.frombuffer(b"".join(bytes(r["keys"]) for r in rows), dtype=np.uint64)
+    flags = np.frombuffer(b"".join(bytes(r["flags"]) for r in rows), dtype=bool)
+    order = np.argsort(keys)
+    return keys[order], flags[order]
+
+
 OUT = "key long, seg_id long, doc_id long, text_id long, start int, last long, segment binary"
 NAMES = ["key", "seg_id", "doc_id", "text_id", "start", "last", "segment"]
 
@@ -185,13 +201,11 @@ def given(part: pa.RecordBatch, anchors: np.ndarray, text: np.ndarray) -> tuple[
 
 
 class PassageAutomaton:
-    """Finds recurring windows in texts whose words are coded as one letter each."""
+    """Finds recurring passages in texts whose words are coded as one letter each."""
 
-    def __init__(self, window: int):
-        self.window = window
+    def __init__(self):
         self.letters: dict[bytes, int] = {}
         self.automaton = ahocorasick.Automaton()
-        self.passages: dict[bytes, int] = {}
 
     def code(self, words: list[bytes]) -> str:
         letters = self.letters
@@ -201,69 +215,76 @@ class PassageAutomaton:
         return bytes(map(letters.__getitem__, words)).decode("latin-1")
 
     def add(self, code: str, passage: bytes, first: int) -> None:
-        """A passage of one window and the first document that holds it."""
-        self.passages[passage] = first
+        """A passage and the first document that holds it; each passage is added once."""
         known = self.automaton.get(code, None)
         if known is None:
-            self.automaton.add_word(code, [passage])
+            self.automaton.add_word(code, [(passage, len(code), first)])
         else:
-            known.append(passage)
+            known.append((passage, len(code), first))
 
     def compile(self) -> None:
-        if self.passages:
+        if len(self.automaton):
             self.automaton.make_automaton()
 
     def hits(self, code: str, words: list[bytes]):
-        """(first word, first document) of every occurrence."""
-        if not self.passages:
+        """(first word, words, first document) of every occurrence."""
+        if not len(self.automaton):
             return
         for end, candidates in self.automaton.iter(code):
-            start = end - self.window + 1
-            passage = b" ".join(words[start : end + 1])
-            for candidate in candidates:
-                if candidate == passage:
-                    yield start, self.passages[candidate]
+            for passage, size, first in candidates:
+                if b" ".join(words[end + 1 - size : end + 1]) == passage:
+                    yield end + 1 - size, size, first
+
 
+def confirm(segments: list[list], window: int) -> dict[bytes, int]:
+    """Recurring passages among the segments of one anchor, with the first document of each.
 
-def confirm(segments: list[tuple[list[bytes], int, int]], window: int) -> dict[bytes, tuple[int, int]]:
-    """Smallest and largest document of every window, by its words."""
+    A single segment recurs as a whole or not at all. Several are compared by their
+    windows: equal windows may lie in different segments.
+    """
+    if len(segments) == 1:
+        segment, _, low, high = segments[0]
+        return {segment: low} if low < high else {}
     seen: dict[bytes, tuple[int, int]] = {}
-    for words, low, high in segments:
+    for _, words, low, high in segments:
         for i in range(len(words) - window + 1):
             passage = b" ".join(words[i : i + window])
             known = seen.get(passage)
             seen[passage] = (low, high) if known is None else (min(low, known[0]), max(high, known[1]))
-    return seen
+    return {passage: low for passage, (low, high) in seen.items() if low < high}
 
 
-def shard_cover(rows: list[tuple], window: int) -> list[tuple]:
+def shard_cover(groups: list[list[tuple]], window: int) -> list[tuple]:
     """Per segment of a shard the windows that recur: (key, seg_id, starts, firsts).
 
-    Only windows are named that some document of the segment has to give up.
+    ``groups`` holds the rows of one key each. Only windows are named that some
+    document of the segment has to give up.
     """
-    merged: dict[tuple[int, int], list] = {}
-    for key, seg_id, low, high, segment in rows:
-        known = merged.get((key, seg_id))
-        if known is None:
-            merged[key, seg_id] = [segment.split(b" "), low, high]
-        else:
-            known[1], known[2] = min(low, known[1]), max(high, known[2])
-    segments = [tuple(v) for v in merged.values()]
-    seen = confirm(segments, window)
-    automaton = PassageAutomaton(window)
-    codes = [automaton.code(words) for words, _, _ in segments]
-    for code, (words, _, _) in zip(codes, segments):
-        for i in range(len(words) - window + 1):
-            passage = b" ".join(words[i : i + window])
-            low, high = seen[passage]
-            if low < high and passage not in automaton.passages:
-                automaton.add(code[i : i + window], passage, low)
+    automaton = PassageAutomaton()
+    streamed: list[tuple] = []
+    for rows in groups:
+        merged: dict[tuple[int, int], list] = {}
+        for key, seg_id, low, high, segment in rows:
+            known = merged.get((key, seg_id))
+            if known is None:
+                merged[key, seg_id] = [segment, segment.split(b" "), low, high]
+            else:
+                known[2], known[3] = min(low, known[2]), max(high, known[3])
+        passages = confirm(list(merged.values()), window)
+        if passages:
+            for passage, low in passages.items():
+                automaton.add(automaton.code(passage.split(b" ")), passage, low)
+            streamed.extend((name, words, high) for name, (_, words, _, high) in merged.items())
     automaton.compile()
     out = []
-    for (key, seg_id), code, (words, _, high) in zip(merged, codes, segments):
-        hits = [(start, first) for start, first in automaton.hits(code, words) if first < high]
-        if hits:
-            out.append((key, seg_id, [s for s, _ in hits], [f for _, f in hits]))
+    for (key, seg_id), words, high in streamed:
+        firsts: dict[int, int] = {}
+        for start, size, first in automaton.hits(automaton.code(words), words):
+            if first < high:
+                for i in range(start, start + size - window + 1):
+                    firsts[i] = min(first, firsts.get(i, first))
+        if firsts:
+            out.append((key, seg_id, list(firsts), list(firsts.values())))
     return out
 
 
@@ -286,13 +307,15 @@ def locate(segments: DataFrame, window: int) -> DataFrame:
         )
 
     def run(batches):
-        shard: list[tuple] = []
+        shard: list[list[tuple]] = []
+        held = 0
         for _, group in groupby(rows_of(batches), key=lambda r: r[0]):
-            shard.extend(group)
-            if len(shard) >= SHARD:
+            shard.append(list(group))
+            held += len(shard[-1])
+            if held >= SHARD:
                 if found := shard_cover(shard, window):
                     yield out(found)
-                shard = []
+                shard, held = [], 0
         if shard and (found := shard_cover(shard, window)):
             yield out(found)
 
@@ -306,10 +329,7 @@ def removed_ranges(docs: DataFrame, window: int, anchor: int, hot: int, broadcas
     anchors = anchor_rows(named.select("doc_id", "text"), window, anchor)
     recurring = recurring_anchors(anchors, hot)
     if recurring.limit(broadcast_anchors + 1).count() <= broadcast_anchors:
-        table = recurring.orderBy("anchor").toPandas()
-        keys = table["anchor"].to_numpy(dtype=np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        known = docs.sparkSession.sparkContext.broadcast((keys[order], table["hot"].to_numpy(dtype=bool)[order]))
+        known = docs.sparkSession.sparkContext.broadcast(sorted_anchors(recurring))
         cut = cut_segments(named, window, anchor, known)
     else:
         per_doc = anchors.join(recurring, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "hot")).alias("own"))
