@@ -42,7 +42,6 @@ def large_star(edges: DataFrame) -> DataFrame:
         .join(least, "a")
         .select(F.col("v").alias("a"), F.col("m").alias("b"))
         .where(F.col("a") != F.col("b"))
-        .distinct()
     )
 
 

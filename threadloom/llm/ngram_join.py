@@ -8,7 +8,8 @@ fixed size, tells roughly how many each holds.
 
 Overlap counts of two rows are summed over the columns of the product; pairs that
 cannot reach the overlap that their sizes ask for are dropped; the full overlap of
-the others is counted.
+the others is counted. A parity signature of each set bounds the overlap of two sets
+as well, and is compared first.
 
 The product is not made from all pairs of a column. First each entry meets one
 pivot of its column (and size class); links found so join rows into components.
@@ -36,9 +37,13 @@ LEAST = 80
 #: Cells of the sketch that orders the columns; one byte each is broadcast.
 SKETCH_BITS = 21
 SKETCH_BLOCK = 1 << 16
-#: Rows with other pivots before the remaining pairs are multiplied in blocks of this many entries a side.
-PIVOT_ROUNDS = 4
+#: Rounds with pivots before the remaining pairs are multiplied in blocks of this many entries a side.
+PIVOT_ROUNDS = 3
 BLOCK = 512
+#: Pairs across components per entry up to which they are multiplied at once.
+FEW = 256
+#: Words of 64 bits in the parity signature of a set.
+PARITY = 8
 #: Ids up to this many are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -56,15 +61,27 @@ def signature(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Per cell of a small table whether an odd number of shingles falls into it, as signed 64-bit words.
+
+    The signatures of two sets differ in no more bits than there are shingles in only
+    one of the sets, which bounds their overlap from above.
+    """
+    counts = np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
-    """One row (doc_id, n, sig) per document, and the sketch of all columns.
+    """One row (doc_id, n, sig, parity) per document, and the sketch of all columns.
 
     Both come from one reading of the texts. Each task adds up its shingles in an
     array of fixed size and hands on the cells that are not zero; the cells of a
     range meet in one task, which adds one byte each to the result: the logarithm
     of the count.
     """
-    schema = "doc_id long, n long, sig long, block int, cells binary, counts binary"
+    schema = "doc_id long, n long, sig long, parity array<long>, block int, cells binary, counts binary"
+
+    names = ["doc_id", "n", "sig", "parity", "block", "cells", "counts"]
 
     def run(batches):
         hashes = kept_in_worker("words", WordHashes)
@@ -77,18 +94,19 @@ def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
                 n = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([signature(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                     pa.array([signature(s) for s in sets], pa.int64()),
+                     pa.array([parity(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                      pa.nulls(n, pa.binary())],
-                    ["doc_id", "n", "sig", "block", "cells", "counts"],
+                    names,
                 )
         for block in range(0, len(sketch), SKETCH_BLOCK):
             part = sketch[block : block + SKETCH_BLOCK]
             full = np.flatnonzero(part)
             if len(full):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([block // SKETCH_BLOCK], pa.int32()),
+                    [*[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.list_(pa.int64())), pa.array([block // SKETCH_BLOCK], pa.int32()),
                      pa.array([full.astype("<u2").tobytes()], pa.binary()), pa.array([part[full].astype("<u4").tobytes()], pa.binary())],
-                    ["doc_id", "n", "sig", "block", "cells", "counts"],
+                    names,
                 )
 
     def add(batches):
@@ -108,7 +126,7 @@ def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
     for row in summed.collect():
         at = row["block"] * SKETCH_BLOCK
         sketch[at : at + SKETCH_BLOCK] = row["logs"]
-    return both.where(F.col("block").isNull()).select("doc_id", "n", "sig"), bytes(sketch)
+    return both.where(F.col("block").isNull()).select("doc_id", "n", "sig", "parity"), bytes(sketch)
 
 
 def first_columns(docs: DataFrame, sketch: bytes, size: int, least: int, bits: int) -> DataFrame:
@@ -167,6 +185,12 @@ def with_size_group(entries: DataFrame, least: int) -> DataFrame:
     return entries.withColumn("class", class_of).withColumn("size_group", F.explode(F.array(F.col("class"), F.col("class") + 1)))
 
 
+def few_differences(nx: Column, px: Column, ny: Column, py: Column, least: int) -> Column:
+    """Whether two parity signatures differ in no more bits than sets of these sizes may."""
+    bits = [F.bit_count(px[i].bitwiseXOR(py[i])) for i in range(PARITY)]
+    return sum(bits[1:], bits[0]) <= nx + ny - 2 * needed(nx, ny, least)
+
+
 def promising(product: DataFrame, least: int) -> DataFrame:
     """Sum the overlap counts of pairs over all columns; drop those below what their sizes ask for.
 
@@ -184,10 +208,14 @@ def promising(product: DataFrame, least: int) -> DataFrame:
 
 
 def pivot_pairs(entries: DataFrame, turn: int, least: int) -> DataFrame:
-    """Each entry of a column and size group with the group's pivot of this turn."""
-    rank = F.xxhash64(F.col("sig"), F.lit(turn))
+    """Each entry of a column and size group with the group's pivot of this turn.
+
+    The first pivot is the row in which the column comes earliest: a text that others
+    were made from holds fewer rare columns before it than they do.
+    """
+    early = F.col("place") if turn == 0 else F.lit(0)
     pivots = entries.groupBy("column", "size_group").agg(
-        F.min(F.struct(rank.alias("r"), "sig", "n", "place", "class")).alias("v")
+        F.min(F.struct(early.alias("e"), F.xxhash64(F.col("sig"), F.lit(turn)).alias("r"), "sig", "n", "place", "class")).alias("v")
     )
     joined = entries.join(pivots, ["column", "size_group"]).where(
         (F.col("sig") != F.col("v.sig")) & (F.greatest("class", "v.class") == F.col("size_group"))
@@ -198,21 +226,33 @@ def pivot_pairs(entries: DataFrame, turn: int, least: int) -> DataFrame:
     )
 
 
-def block_pairs(entries: DataFrame) -> DataFrame:
-    """All pairs of a column and size group that lie in different components, made in square blocks."""
+def block_pairs(entries: DataFrame, parities: DataFrame, least: int) -> DataFrame:
+    """The pairs of a column and size group that lie in different components, made in square blocks.
+
+    Pairs whose parity signatures differ too much are not handed on.
+    """
     key = ["column", "size_group"]
     sides = entries.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")
-    sized = entries.join(sides, key)
+    sized = entries.join(parities, "sig").join(sides, key)
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    names = {"sig": "x", "n": "nx", "place": "ix", "class": "cx", "component": "kx"}
+    names = {"sig": "x", "n": "nx", "place": "ix", "class": "cx", "component": "kx", "parity": "px"}
     left = sized.withColumn("i", own).withColumn("j", every).select(*key, "i", "j", *[F.col(a).alias(b) for a, b in names.items()])
     right = sized.withColumn("j", own).withColumn("i", every).select(*key, "i", "j", *[F.col(a).alias(b.replace("x", "y")) for a, b in names.items()])
     return left.join(right, [*key, "i", "j"]).where(
         (F.col("kx") < F.col("ky")) & (F.greatest("cx", "cy") == F.col("size_group"))
+        & (least * F.greatest("nx", "ny") <= 100 * F.least("nx", "ny"))
+        & few_differences(F.col("nx"), F.col("px"), F.col("ny"), F.col("py"), least)
     ).select("x", "nx", "ix", "y", "ny", "iy")
 
 
+def alike(pairs: DataFrame, parities: DataFrame, least: int) -> DataFrame:
+    """The pairs whose parity signatures do not rule them out."""
+    left = pairs.join(parities.select(F.col("sig").alias("x"), F.col("parity").alias("px")), "x")
+    both = left.join(parities.select(F.col("sig").alias("y"), F.col("parity").alias("py")), "y")
+    return both.where(few_differences(F.col("nx"), F.col("px"), F.col("ny"), F.col("py"), least)).select("x", "nx", "y", "ny")
+
+
 def sets_of(docs: DataFrame, names: DataFrame, size: int) -> DataFrame:
     """The whole sets (sig, found) of the documents in ``names`` (doc_id, sig)."""
     few = names.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
@@ -266,6 +306,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
     shared = postings.groupBy("column").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("column")
     entries = materialize(with_size_group(postings.join(shared, "column"), least).distinct(), "entries")
     classes = profile.where(F.col("n") > 0).groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    parities = profile.where(F.col("n") > 0).groupBy("sig").agg(F.first("parity").alias("parity"))
     links = None
     for turn in range(rounds + 1):
         if turn == 0:
@@ -278,11 +319,11 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
                 break
             if turn == rounds or few_pairs(entries):
                 turn = rounds
-                product = block_pairs(entries)
+                product = block_pairs(entries, parities, least)
             else:
                 product = pivot_pairs(entries, turn, least)
             entries = entries.drop("component")
-        pairs = materialize(promising(product, least), "pairs")
+        pairs = materialize(alike(promising(product, least), parities, least), "pairs")
         new = materialize(links_of(pairs, picked_sets(picked, pairs, classes, size), least), "links")
         links = new if links is None else links.unionByName(new)
         if turn == rounds:
@@ -292,7 +333,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
     reached = names.join(least_id, "component").select(F.col("node").alias("sig"), "component_id")
     own = classes.select("sig", F.col("doc_id").alias("class_id"))
     by_sig = own.join(reached, "sig", "left").select("sig", F.coalesce("component_id", "class_id").alias("component_id"))
-    return profile.join(by_sig, "sig", "left").select(
+    return profile.drop("parity").join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
@@ -312,8 +353,8 @@ def cross_entries(entries: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def few_pairs(entries: DataFrame) -> bool:
-    """Whether the pairs across components are at most a few times the entries."""
+    """Whether the pairs across components are at most ``FEW`` times the entries."""
     parts = entries.groupBy("column", "size_group", "component").agg(F.count("*").cast("double").alias("c"))
     sums = parts.groupBy("column", "size_group").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
     row = sums.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.sum("s").alias("n")).first()
-    return (row["pairs"] or 0) <= 8 * (row["n"] or 0)
+    return (row["pairs"] or 0) <= FEW * (row["n"] or 0)
