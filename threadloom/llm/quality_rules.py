@@ -30,7 +30,7 @@ LEAST_ROWS = 60
 LEAST_SPREAD = {"s_words": 0.25, "s_length": 0.05, "s_symbols": 0.4, "s_lines": 0.5, "s_repeats": 0.5, "s_upper": 0.3}
 STATS = list(LEAST_SPREAD)
 #: Squared distance beyond which a row is rejected, and the chi-square median of six statistics.
-CUTOFF = 45.0
+CUTOFF = 80.0
 CHI_MEDIAN = 5.348
 
 

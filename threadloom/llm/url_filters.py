@@ -23,7 +23,9 @@ LISTED = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
+#: Least share of the labelled URLs, least number of them, and least share of bad ones among those that a rule fits.
 MIN_SUPPORT = 0.01
+MIN_PAGES = 30
 MIN_CONFIDENCE = 0.7
 
 
@@ -79,19 +81,23 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.concat(single, keys))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+               min_pages: int = MIN_PAGES) -> DataFrame:
     """Rules (antecedent, confidence, support, posted_under) from ``labelled`` (tokens, bad).
 
-    An empty or unlabelled table gives no rules.
+    A rule is pruned by confidence, and by support: the bad URLs that hold all of its
+    tokens must be a share of the labelled ones and a number. An empty or unlabelled table gives no rules.
     """
     transactions = labelled.where(F.size("tokens") > 0).select(
         F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")
     )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
+    total = transactions.count()
+    support = min(1.0, max(min_support, min_pages / max(total, 1)))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(transactions)
     counts = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     rules = model.associationRules.where(F.col("consequent")[0] == BAD).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence", "support"
-    )
+    ).where(F.col("support") * total > min_pages - 0.5)
     rarest = (
         rules.select("antecedent", F.explode("antecedent").alias("item"))
         .join(counts, "item")
@@ -119,7 +125,8 @@ def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules=LISTED, min_support: float = MIN_SUPPORT,
-                min_confidence: float = MIN_CONFIDENCE, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+                min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES, id_col: str = "page_id",
+                url_col: str = "url") -> DataFrame:
     """A verdict for every page: page_id, host, path, rule, verdict, mined_rule.
 
     ``labels`` has one row or more per id, with ``bad``. The listed rule decides
@@ -132,7 +139,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=LISTED, min_support:
     picked = with_host_and_path(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url")))
     tokened = picked.withColumn("tokens", url_tokens(F.col("url"), F.col("host"), F.col("path")))
     known = labels.select(F.col("id").alias("page_id"), "bad").where(F.col("bad").isNotNull())
-    rules_found = mine_rules(tokened.select("page_id", "tokens").join(known, "page_id"), min_support, min_confidence)
+    rules_found = mine_rules(tokened.select("page_id", "tokens").join(known, "page_id"), min_support, min_confidence, min_pages)
     matched = match_rules(tokened.select("tokens").distinct(), rules_found)
     text, listed = listed_rule(F.col("host"), F.col("path"), rules)
     return tokened.join(matched, "tokens", "left").select(
