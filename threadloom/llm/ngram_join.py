@@ -72,16 +72,16 @@ def parity(found: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
-    """One row (doc_id, n, sig, parity) per document, and the sketch of all columns.
+    """One row (doc_id, text_id, n, sig, parity) per document, and the sketch of all columns.
 
     Both come from one reading of the texts. Each task adds up its shingles in an
     array of fixed size and hands on the cells that are not zero; the cells of a
     range meet in one task, which adds one byte each to the result: the logarithm
     of the count.
     """
-    schema = "doc_id long, n long, sig long, parity array<long>, block int, cells binary, counts binary"
+    schema = "doc_id long, text_id long, n long, sig long, parity array<long>, block int, cells binary, counts binary"
 
-    names = ["doc_id", "n", "sig", "parity", "block", "cells", "counts"]
+    names = ["doc_id", "text_id", "n", "sig", "parity", "block", "cells", "counts"]
 
     def run(batches):
         hashes = kept_in_worker("words", WordHashes)
@@ -93,7 +93,8 @@ def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
                 sketch += np.bincount(cells.astype(np.int64), minlength=1 << bits).astype(np.uint32)
                 n = len(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(part.schema.get_field_index("doc_id")), part.column(part.schema.get_field_index("text_id")),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([signature(s) for s in sets], pa.int64()),
                      pa.array([parity(s) for s in sets], pa.list_(pa.int64())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                      pa.nulls(n, pa.binary())],
@@ -104,7 +105,7 @@ def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
             full = np.flatnonzero(part)
             if len(full):
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.list_(pa.int64())), pa.array([block // SKETCH_BLOCK], pa.int32()),
+                    [*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.list_(pa.int64())), pa.array([block // SKETCH_BLOCK], pa.int32()),
                      pa.array([full.astype("<u2").tobytes()], pa.binary()), pa.array([part[full].astype("<u4").tobytes()], pa.binary())],
                     names,
                 )
@@ -126,7 +127,7 @@ def profiles(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, bytes]:
     for row in summed.collect():
         at = row["block"] * SKETCH_BLOCK
         sketch[at : at + SKETCH_BLOCK] = row["logs"]
-    return both.where(F.col("block").isNull()).select("doc_id", "n", "sig", "parity"), bytes(sketch)
+    return both.where(F.col("block").isNull()).select("doc_id", "text_id", "n", "sig", "parity"), bytes(sketch)
 
 
 def first_columns(docs: DataFrame, sketch: bytes, size: int, least: int, bits: int) -> DataFrame:
@@ -254,9 +255,10 @@ def alike(pairs: DataFrame, parities: DataFrame, least: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, names: DataFrame, size: int) -> DataFrame:
-    """The whole sets (sig, found) of the documents in ``names`` (doc_id, sig)."""
+    """The whole sets (sig, found) of the documents in ``names`` (rep_id, rep_text, sig)."""
     few = names.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    picked = docs.join(F.broadcast(names) if few else names, "doc_id").select("sig", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_id") == F.col("rep_text"))
+    picked = docs.join(F.broadcast(names) if few else names, same).select("sig", "text")
 
     def run(batches):
         hashes = kept_in_worker("words", WordHashes)
@@ -300,13 +302,15 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
     another id. Repeated rows are members of one class. Empty tables give no rows.
     Other columns are not read.
     """
-    picked = id_and_text(docs, id_col, text_col)
+    picked = id_and_text(docs, id_col, text_col).withColumn("text_id", F.xxhash64("text"))
     profile, sketch = profiles(picked, size, bits)
     postings = materialize(first_columns(picked, sketch, size, least, bits), "postings")
     shared = postings.groupBy("column").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("column")
     entries = materialize(with_size_group(postings.join(shared, "column"), least).distinct(), "entries")
-    classes = profile.where(F.col("n") > 0).groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    parities = profile.where(F.col("n") > 0).groupBy("sig").agg(F.first("parity").alias("parity"))
+    full = profile.where(F.col("n") > 0)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
+    classes = full.groupBy("sig").agg(first.alias("r")).select("sig", F.col("r.doc_id").alias("doc_id"), F.col("r.text_id").alias("rep_text"))
+    parities = full.groupBy("sig").agg(F.first("parity").alias("parity"))
     links = None
     for turn in range(rounds + 1):
         if turn == 0:
@@ -333,7 +337,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
     reached = names.join(least_id, "component").select(F.col("node").alias("sig"), "component_id")
     own = classes.select("sig", F.col("doc_id").alias("class_id"))
     by_sig = own.join(reached, "sig", "left").select("sig", F.coalesce("component_id", "class_id").alias("component_id"))
-    return profile.drop("parity").join(by_sig, "sig", "left").select(
+    return profile.select("doc_id", "n", "sig").join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
@@ -342,7 +346,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
 def picked_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """The sets that the pairs name, computed once."""
     named = pairs.select(F.col("x").alias("sig")).unionByName(pairs.select(F.col("y").alias("sig"))).distinct()
-    return materialize(sets_of(docs, materialize(classes.join(named, "sig"), "names"), size).dropDuplicates(["sig"]), "sets")
+    return materialize(sets_of(docs, materialize(classes.join(named, "sig").withColumnRenamed("doc_id", "rep_id"), "names"), size).dropDuplicates(["sig"]), "sets")
 
 
 def cross_entries(entries: DataFrame, label: DataFrame) -> DataFrame:
