@@ -106,8 +106,8 @@ def test_components_of_a_chain_and_a_star(spark):
 @pytest.mark.parametrize("hot,broadcast", [(1000, 10**6), (1, 10**6), (1000, 0), (1, 0)])
 def test_repeats_are_removed(spark, hot, broadcast):
     rows = corpus(7)
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"text_id": F.lit("clash"), "starts": F.lit(1), "n_words": F.lit(0)})
-    got = substring_dedup.remove_repeats(docs.repartition(4), hot=hot, broadcast_anchors=broadcast)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"text_id": F.lit("clash"), "from": F.lit(1), "n_words": F.lit(0)})
+    got = substring_dedup.remove_repeats(docs.repartition(4), hot=hot, broadcast_anchors=broadcast, broadcast_ranges=broadcast)
     assert sorted((tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str) == plain_removal(rows)
     whole = {r["doc_id"]: r["kept_text"] for r in got.where("n_removed = 0 and doc_id is not null").collect()}
     assert all(text == dict((i, t) for i, t in rows)[doc] for doc, text in whole.items())

@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from itertools import groupby
+from dataclasses import dataclass
+from itertools import chain, groupby
 
 import ahocorasick
 import numpy as np
@@ -34,13 +35,15 @@ from threadloom.llm.shared import id_and_text, kept_in_worker, pieces_of, raw_te
 from threadloom.session import materialize
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 4
 #: An anchor of more documents than this is dealt by windows.
 HOT = 1000
 #: Segments that share an automaton, at least; a shard ends where an anchor ends.
 SHARD = 20_000
 #: Recurring anchors up to this many (8 bytes each) are broadcast; more are joined to the documents.
 BROADCAST_ANCHORS = 4_000_000
+#: Documents with ranges to remove (a few numbers each) up to which these are broadcast; more are joined by a shuffle.
+BROADCAST_RANGES = 500_000
 #: Segments that a task holds to reduce copies before it hands them on.
 HELD = 200_000
 
@@ -48,20 +51,21 @@ HELD = 200_000
 def anchored(texts: list[bytes | None], hashes: WordHashes, window: int, anchor: int):
     """Words and runs of windows with one anchor, for many texts together.
 
-    Returns the words of each text, the place of each text's first word, and per run
-    of windows: text, first window, number of windows, anchor. Also the window hashes.
+    Returns all words, the place of each text's first word, and per run of windows:
+    text, first window, number of windows, anchor. Also the hashes of the words.
     """
-    words = [t.split() if t else [] for t in texts]
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    cut = [t.split() if t else [] for t in texts]
+    sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
     first = np.concatenate(([0], np.cumsum(sizes)))
-    h = hashes.of([w for ws in words for w in ws])
+    words = list(chain.from_iterable(cut))
+    h = hashes.of(words)
     empty = np.empty(0, dtype=np.int64)
     if len(h) < window:
         return words, first, empty, empty, empty, np.empty(0, dtype=np.uint64), h
     short = runs(h, anchor)
     width = window - anchor + 1
     where = np.lib.stride_tricks.sliding_window_view(short, width).argmin(axis=1) + np.arange(len(short) - width + 1)
-    text_of = np.repeat(np.arange(len(words)), sizes)
+    text_of = np.repeat(np.arange(len(cut)), sizes)
     inside = text_of[: len(where)] == text_of[window - 1 :]
     starts = np.empty(len(where), dtype=bool)
     starts[0] = True
@@ -129,52 +133,54 @@ def cut_segments(docs: DataFrame, window: int, anchor: int, known=None) -> DataF
     each row of ``docs`` brings its own in the columns ``anchors`` and ``hot``.
     """
 
-    def out(columns) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], NAMES)
-
     def distinct(held: dict) -> pa.RecordBatch:
-        rows = [(key, seg_id, low, None, None, high, words) for (key, seg_id), (low, high, words) in held.items()]
-        return out(list(zip(*rows)))
+        n = len(held)
+        low, high, keys, names = (pa.array(c, pa.int64()) for c in zip(*held.values()))
+        return pa.RecordBatch.from_arrays(
+            [keys, names, low, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), high, pa.array(list(held), pa.binary())], NAMES
+        )
 
     def run(batches):
         hashes = kept_in_worker("words", WordHashes)
-        held: dict[tuple[int, int], list] = {}
+        held: dict[bytes, list] = {}
         for batch in batches:
             for part in pieces_of(batch):
-                ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
-                texts = raw_texts(part)
-                text_ids = part.column(part.schema.get_field_index("text_id")).to_pylist()
-                words, first, text, at, count, anchors, h = anchored(texts, hashes, window, anchor)
+                ids = part.column(part.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+                text_ids = part.column(part.schema.get_field_index("text_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+                words, first, text, at, count, anchors, h = anchored(raw_texts(part), hashes, window, anchor)
                 if known is not None:
                     table, flags = known.value
                     place = np.minimum(np.searchsorted(table, anchors), max(len(table) - 1, 0))
                     found = table[place] == anchors if len(table) else np.zeros(len(anchors), dtype=bool)
-                    hot = flags[place] if len(table) else found
+                    hot = found & flags[place] if len(table) else found
                 else:
                     found, hot = given(part, anchors, text)
                 if not found.any():
                     continue
-                long = runs(h, window).view(np.int64)
-                keys = anchors.view(np.int64)
-                rows: list[tuple] = []
-                for i in np.flatnonzero(found).tolist():
-                    t, begin, n = int(text[i]), int(at[i]), int(count[i])
-                    offset = begin - int(first[t])
-                    spans = [(int(long[begin + j]), offset + j, window) for j in range(n)] if hot[i] else [(int(keys[i]), offset, n + window - 1)]
-                    for key, start, size in spans:
-                        segment = b" ".join(words[t][start : start + size])
-                        seg_id = xxhash.xxh3_64_intdigest(segment, 1) - (1 << 63)
-                        doc = ids[t]
-                        rows.append((key, seg_id, doc, text_ids[t], start, None, None))
-                        seen = held.get((key, seg_id))
-                        if seen is None:
-                            held[key, seg_id] = [doc, doc, segment]
-                        elif doc < seen[0]:
-                            seen[0] = doc
-                        elif doc > seen[1]:
-                            seen[1] = doc
-                yield out(list(zip(*rows)))
+                # runs of hot anchors fall apart into their windows, each dealt by its own hash
+                plain, split = np.flatnonzero(found & ~hot), np.flatnonzero(hot)
+                windows = np.repeat(at[split], count[split]) + places_within(count[split])
+                keys = np.concatenate((anchors[plain].view(np.int64), runs(h, window)[windows].view(np.int64)))
+                begin = np.concatenate((at[plain], windows))
+                size = np.concatenate((count[plain] + (window - 1), np.full(len(windows), window, dtype=np.int64)))
+                owner = np.concatenate((text[plain], np.repeat(text[split], count[split])))
+                names = np.empty(len(begin), dtype=np.int64)
+                spans = zip(begin.tolist(), (begin + size).tolist(), keys.tolist(), ids[owner].tolist())
+                for i, (start, stop, key, doc) in enumerate(spans):
+                    segment = b" ".join(words[start:stop])
+                    seen = held.get(segment)
+                    if seen is None:
+                        seen = held[segment] = [doc, doc, key, xxhash.xxh3_64_intdigest(segment, 1) - (1 << 63)]
+                    elif doc < seen[0]:
+                        seen[0] = doc
+                    elif doc > seen[1]:
+                        seen[1] = doc
+                    names[i] = seen[3]
+                n = len(begin)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(names), pa.array(ids[owner]), pa.array(text_ids[owner]),
+                     pa.array((begin - first[owner]).astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], NAMES
+                )
                 if len(held) >= HELD:
                     yield distinct(held)
                     held = {}
@@ -184,6 +190,11 @@ def cut_segments(docs: DataFrame, window: int, anchor: int, known=None) -> DataF
     return docs.mapInArrow(run, OUT)
 
 
+def places_within(counts: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each n, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def given(part: pa.RecordBatch, anchors: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which anchors are among those that their document brings along, and which of them are hot."""
     found, hot = np.zeros(len(anchors), dtype=bool), np.zeros(len(anchors), dtype=bool)
@@ -226,32 +237,49 @@ class PassageAutomaton:
         if len(self.automaton):
             self.automaton.make_automaton()
 
-    def hits(self, code: str, words: list[bytes]):
-        """(first word, words, first document) of every occurrence."""
-        if not len(self.automaton):
-            return
+    def hits(self, code: str, segment: bytes, words: list[bytes]):
+        """(first word, words, first document) of every occurrence in a segment."""
         for end, candidates in self.automaton.iter(code):
             for passage, size, first in candidates:
-                if b" ".join(words[end + 1 - size : end + 1]) == passage:
+                if segment == passage if size == len(code) else b" ".join(words[end + 1 - size : end + 1]) == passage:
                     yield end + 1 - size, size, first
 
 
-def confirm(segments: list[list], window: int) -> dict[bytes, int]:
-    """Recurring passages among the segments of one anchor, with the first document of each.
+@dataclass(slots=True)
+class Segment:
+    """A distinct segment of a shard, with the first and last document that hold it."""
+
+    name: tuple[int, int]
+    text: bytes
+    words: list[bytes]
+    code: str
+    low: int
+    high: int
+
+
+def confirm(segments: list[Segment], window: int):
+    """Recurring passages among the segments of one key: (code, passage, first document).
 
     A single segment recurs as a whole or not at all. Several are compared by their
     windows: equal windows may lie in different segments.
     """
     if len(segments) == 1:
-        segment, _, low, high = segments[0]
-        return {segment: low} if low < high else {}
-    seen: dict[bytes, tuple[int, int]] = {}
-    for _, words, low, high in segments:
-        for i in range(len(words) - window + 1):
-            passage = b" ".join(words[i : i + window])
+        only = segments[0]
+        if only.low < only.high:
+            yield only.code, only.text, only.low
+        return
+    seen: dict[bytes, list] = {}
+    for s in segments:
+        for i in range(len(s.words) - window + 1):
+            passage = b" ".join(s.words[i : i + window])
             known = seen.get(passage)
-            seen[passage] = (low, high) if known is None else (min(low, known[0]), max(high, known[1]))
-    return {passage: low for passage, (low, high) in seen.items() if low < high}
+            if known is None:
+                seen[passage] = [s.low, s.high, s.code[i : i + window]]
+            else:
+                known[0], known[1] = min(s.low, known[0]), max(s.high, known[1])
+    for passage, (low, high, code) in seen.items():
+        if low < high:
+            yield code, passage, low
 
 
 def shard_cover(groups: list[list[tuple]], window: int) -> list[tuple]:
@@ -261,30 +289,33 @@ def shard_cover(groups: list[list[tuple]], window: int) -> list[tuple]:
     document of the segment has to give up.
     """
     automaton = PassageAutomaton()
-    streamed: list[tuple] = []
+    streamed: list[Segment] = []
     for rows in groups:
-        merged: dict[tuple[int, int], list] = {}
-        for key, seg_id, low, high, segment in rows:
+        merged: dict[tuple[int, int], Segment] = {}
+        lone = len(rows) == 1 and rows[0][2] == rows[0][3]  # one segment of one document: nothing recurs
+        for key, seg_id, low, high, text in () if lone else rows:
             known = merged.get((key, seg_id))
             if known is None:
-                merged[key, seg_id] = [segment, segment.split(b" "), low, high]
+                words = text.split(b" ")
+                merged[key, seg_id] = Segment((key, seg_id), text, words, automaton.code(words), low, high)
             else:
-                known[2], known[3] = min(low, known[2]), max(high, known[3])
-        passages = confirm(list(merged.values()), window)
+                known.low, known.high = min(low, known.low), max(high, known.high)
+        segments = list(merged.values())
+        passages = list(confirm(segments, window))
+        for code, passage, low in passages:
+            automaton.add(code, passage, low)
         if passages:
-            for passage, low in passages.items():
-                automaton.add(automaton.code(passage.split(b" ")), passage, low)
-            streamed.extend((name, words, high) for name, (_, words, _, high) in merged.items())
+            streamed.extend(segments)
     automaton.compile()
     out = []
-    for (key, seg_id), words, high in streamed:
+    for s in streamed:
         firsts: dict[int, int] = {}
-        for start, size, first in automaton.hits(automaton.code(words), words):
-            if first < high:
+        for start, size, first in automaton.hits(s.code, s.text, s.words):
+            if first < s.high:
                 for i in range(start, start + size - window + 1):
                     firsts[i] = min(first, firsts.get(i, first))
         if firsts:
-            out.append((key, seg_id, list(firsts), list(firsts.values())))
+            out.append((*s.name, list(firsts), list(firsts.values())))
     return out
 
 
@@ -324,7 +355,7 @@ def locate(segments: DataFrame, window: int) -> DataFrame:
 
 
 def removed_ranges(docs: DataFrame, window: int, anchor: int, hot: int, broadcast_anchors: int) -> DataFrame:
-    """First words of the windows to remove, per document: doc_id, text_id, starts."""
+    """Ranges of words to remove, per document that has any: doc_id, text_id, from, upto."""
     named = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     anchors = anchor_rows(named.select("doc_id", "text"), window, anchor)
     recurring = recurring_anchors(anchors, hot)
@@ -345,11 +376,32 @@ def removed_ranges(docs: DataFrame, window: int, anchor: int, hot: int, broadcas
             lambda z: z["starts"] + F.col("start"),
         ).alias("starts"),
     )
-    return hits.where(F.size("starts") > 0).groupBy("doc_id", "text_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    per_doc = hits.where(F.size("starts") > 0).groupBy("doc_id", "text_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return merged_ranges(per_doc, window)
+
+
+def merged_ranges(per_doc: DataFrame, window: int) -> DataFrame:
+    """The windows at ``starts`` as ranges of words that do not touch: doc_id, text_id, from, upto."""
+
+    def run(batches):
+        for batch in batches:
+            begin, end = [], []
+            for starts in batch.column(2):
+                at = np.unique(starts.values.to_numpy())
+                gaps = np.flatnonzero(np.diff(at) > window)
+                begin.append(at[np.append(0, gaps + 1)])
+                end.append(at[np.append(gaps, len(at) - 1)] + window)
+            if begin:
+                kind = pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(begin, kind), pa.array(end, kind)], ["doc_id", "text_id", "from", "upto"]
+                )
+
+    return per_doc.select("doc_id", "text_id", "starts").mapInArrow(run, "doc_id long, text_id long, from array<int>, upto array<int>")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT,
-                   broadcast_anchors: int = BROADCAST_ANCHORS, keep: tuple[str, ...] = ()) -> DataFrame:
+                   broadcast_anchors: int = BROADCAST_ANCHORS, broadcast_ranges: int = BROADCAST_RANGES, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with n_words, n_removed, kept_sha256 and ``kept_text``.
 
     ``kept_text`` is the text itself where nothing is removed (null stays null), else
@@ -363,30 +415,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
     picked = picked.withColumn("text_id", F.xxhash64("text"))
     ranges = removed_ranges(picked.select("doc_id", "text", "text_id"), window, anchor, hot, broadcast_anchors)
-    joined = picked.join(ranges, ["doc_id", "text_id"], "left").drop("text_id")
-    schema = joined.drop("starts").schema.add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string").add("kept_text", "string")
+    ranges = materialize(ranges, "ranges")
+    few = ranges.limit(broadcast_ranges + 1).count() <= broadcast_ranges
+    joined = picked.join(F.broadcast(ranges) if few else ranges, ["doc_id", "text_id"], "left").drop("text_id")
+    schema = joined.drop("from", "upto").schema.add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string").add("kept_text", "string")
     names = schema.names
 
     def run(batches):
         for batch in batches:
             for part in pieces_of(batch):
-                starts = part.column(part.schema.get_field_index("starts")).to_pylist()
+                begin, end = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("from", "upto"))
                 counts, gone, digests, texts = [], [], [], []
-                for text, places in zip(raw_texts(part), starts):
-                    words = text.split() if text else []
-                    kept = words
-                    if places:
-                        stay = np.ones(len(words), dtype=bool)
-                        at = np.asarray(places, dtype=np.int64)
-                        for k in range(window):
-                            stay[at + k] = False
-                        kept = [words[i] for i in np.flatnonzero(stay).tolist()]
+                for text, off, on in zip(raw_texts(part), begin, end):
+                    words = kept = text.split() if text else []
+                    if off:
+                        kept = list(chain.from_iterable(words[a:b] for a, b in zip([0, *on], [*off, len(words)])))
                     joined_words = b" ".join(kept)
                     counts.append(len(words))
                     gone.append(len(words) - len(kept))
                     digests.append(hashlib.sha256(joined_words).hexdigest())
-                    texts.append(joined_words if places else text)
-                own = [part.column(i) for i, name in enumerate(part.schema.names) if name != "starts"]
+                    texts.append(joined_words if off else text)
+                own = [part.column(i) for i, name in enumerate(part.schema.names) if name not in ("from", "upto")]
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string()),
                      pa.array(texts, pa.binary()).cast(pa.string())],
