@@ -119,10 +119,11 @@ def test_bootstrap_is_repeatable_and_near(spark):
 
 
 def test_parse_response(spark):
-    raws = ['```json\n{"category": "ANXIETY", "severity": 4, "confidence": 0.9}\n```', "oops", "{}", '```\n{"category": "X"}\n```', "[1]"]
+    raws = ['```json\n{"category": "ANXIETY", "severity": 4, "confidence": 0.9}\n```', "oops", "{}", '```\n{"category": "X"}\n```', "[1]",
+            '{"category": null, "severity": 3.7}']
     df = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
     got = [(r["ai_category"], r["ai_severity"], r["ai_confidence"]) for r in lb.parse_response(df).orderBy("i").collect()]
-    assert got == [("ANXIETY", 4, 0.9), ("ERROR", 0, 0.0), ("UNKNOWN", 0, 0.0), ("X", 0, 0.0), ("ERROR", 0, 0.0)]
+    assert got == [("ANXIETY", 4, 0.9), ("ERROR", 0, 0.0), ("ERROR", 0, 0.0), ("X", 0, 0.0), ("ERROR", 0, 0.0), (None, 3.7, 0.0)]
 
 
 def test_combined_prefers_hand(spark):

@@ -66,7 +66,7 @@ def test_window_masks_match_listed_windows(spark):
                 mask = sum(1 << i for i, w in enumerate(ws) if w in window)
                 if mask:
                     want[(topic, mask)] = want.get((topic, mask), 0) + 1
-    got = {(r["topic"], r["mask"]): r["n"] for r in tp.window_masks(docs, "id", "toks", top, size).collect()}
+    got = {(r["topic"], r["masks"][0]): r["n"] for r in tp.window_masks(docs, "id", "toks", top, size).collect()}
     assert got == want
 
 
@@ -149,3 +149,23 @@ def test_clusters(spark):
     assert out.where("topic = -1").count() == 0
     assert sorted(r["count"] for r in out.groupBy("topic").count().collect()) == [20, 20]
     assert out.where("prob < 0.5").count() == 0
+
+
+def test_long_word_lists_have_no_limit(spark):
+    """80 words a topic: pair counts by document and by window equal a plain count."""
+    import random
+
+    rnd = random.Random(1)
+    words = [f"w{i:02d}" for i in range(80)]
+    texts = [[rnd.choice([*words, "x", "y"]) for _ in range(rnd.randrange(1, 200))] for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, toks array<string>")
+    top = spark.createDataFrame([(0, w, i + 1) for i, w in enumerate(words)], "topic int, term string, rank int")
+    got = {(r["w1"], r["w2"]): r["n"] for r in tp.cooccurrence(docs, "doc_id", "toks", top, n_words=80).collect()}
+    sets = [set(x) for x in texts]
+    assert got == {(a, b): sum(a in s and b in s for s in sets) for i, a in enumerate(words) for b in words[i:]}
+    windows = [set(x[i : i + 30]) for x in texts for i in range(max(1, len(x) - 29))]
+    cells = tp._masks_to_pairs(tp.window_masks(docs, "doc_id", "toks", top, window=30, n_words=80), top)
+    got = {(r["w1"], r["w2"]): r["n"] for r in cells.collect()}
+    assert got == {(a, b): sum(a in s and b in s for s in windows) for i, a in enumerate(words) for b in words[i:]}
+    with pytest.raises(Exception, match="more than 62 words"):
+        tp.cooccurrence(docs, "doc_id", "toks", top).collect()

@@ -87,10 +87,10 @@ def build_prompt(
 
 
 def parse_response(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add category, severity and confidence read from a JSON answer.
+    """Add category, severity (a double, not rounded) and confidence read from a JSON answer.
 
-    A code fence is taken off first. A malformed answer gives ERROR, a missing
-    key UNKNOWN, 0 or 0.0; a JSON null stays null.
+    A code fence is taken off first. A malformed or empty answer gives ERROR, a
+    missing key UNKNOWN, 0 or 0.0; a JSON null stays null.
     """
     s = F.trim(text_or_empty(raw))
     body = (
@@ -98,17 +98,18 @@ def parse_response(df: DataFrame, raw: str = "raw") -> DataFrame:
         .when(F.startswith(s, F.lit("```")), F.trim(F.split_part(s, F.lit("```"), F.lit(2))))
         .otherwise(s)
     )
-    parsed = df.withColumn("_v", F.try_parse_json(body))
-    ok = F.expr("schema_of_variant(_v) LIKE 'OBJECT%'")
+    parsed = df.withColumn("_b", body).withColumn("_v", F.try_parse_json("_b")).withColumn("_k", F.json_object_keys("_b"))
+    ok = F.coalesce(F.expr("schema_of_variant(_v) LIKE 'OBJECT%'") & (F.size("_k") > 0), F.lit(False))
 
-    def field(path: str, kind: str, absent, failed) -> Column:
-        return F.when(F.coalesce(ok, F.lit(False)), F.coalesce(F.try_variant_get("_v", path, kind), F.lit(absent))).otherwise(F.lit(failed))
+    def field(key: str, kind: str, absent, failed) -> Column:
+        value = F.when(F.array_contains("_k", key), F.try_variant_get("_v", f"$.{key}", kind)).otherwise(F.lit(absent))
+        return F.when(ok, value).otherwise(F.lit(failed))
 
     return (
-        parsed.withColumn("ai_category", field("$.category", "string", "UNKNOWN", "ERROR"))
-        .withColumn("ai_severity", field("$.severity", "int", 0, 0))
-        .withColumn("ai_confidence", field("$.confidence", "double", 0.0, 0.0))
-        .drop("_v")
+        parsed.withColumn("ai_category", field("category", "string", "UNKNOWN", "ERROR"))
+        .withColumn("ai_severity", field("severity", "double", 0.0, 0.0))
+        .withColumn("ai_confidence", field("confidence", "double", 0.0, 0.0))
+        .drop("_b", "_v", "_k")
     )
 
 

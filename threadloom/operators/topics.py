@@ -27,6 +27,8 @@ from threadloom.functions.numeric import (
     softmax,
 )
 from threadloom.functions.text import let, topic_label
+from threadloom.operators.emotion import small
+from threadloom.session import materialize
 
 # ---------------------------------------------------------------------------
 # Factorisation
@@ -228,14 +230,14 @@ def label_words(names: DataFrame, noise: list[str], column: str = "topic_name")
 def assign_topics(df: DataFrame, names: DataFrame, weights: str = "topics") -> DataFrame:
     """Add ``topic`` (first largest), ``conf`` and ``topic_name``.
 
-    The name table has one row per topic of the model and is broadcast.
+    The name table has one row per topic of the model; it is broadcast after its size is checked.
     """
     return (
         df.withColumn("_p", row_normalize(weights))
         .withColumn("topic", argmax("_p"))
         .withColumn("conf", F.array_max("_p"))
         .drop("_p")
-        .join(F.broadcast(names), "topic", "left")
+        .join(small(names), "topic", "left")
     )
 
 
@@ -262,7 +264,7 @@ def topic_stats(df: DataFrame, names: DataFrame, tokens: Column) -> DataFrame:
             F.round(F.stddev_samp("conf"), 3).alias("conf_std"),
             F.round(F.avg(tokens.cast("double")), 3).alias("avg_doc_length"),
         )
-        .join(F.broadcast(names), "topic", "left")
+        .join(small(names), "topic", "left")
     )
 
 
@@ -291,7 +293,7 @@ def topic_similarity(topics: DataFrame) -> DataFrame:
     norms = topics.groupBy("topic").agg(
         F.greatest(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), F.lit(EPS)).alias("_norm")
     )
-    unit = topics.join(F.broadcast(norms), "topic").select(
+    unit = topics.join(small(norms), "topic").select(
         "topic", "term", (F.col("weight") / F.col("_norm")).alias("_u")
     )
     left = unit.select(F.col("topic").alias("i"), "term", F.col("_u").alias("_a"))
@@ -370,11 +372,23 @@ def topic_metrics(assigned: DataFrame, top: DataFrame, n: int, topic: str = "top
 # ---------------------------------------------------------------------------
 
 
+BITS = 62  # words a mask holds; further words go to further masks
+
+
+def _bit(rank: str) -> Column:
+    return F.expr(f"shiftleft(1L, ({rank} - 1) % {BITS})")
+
+
+def _holds(masks: str, rank: str) -> Column:
+    at = F.expr(f"CAST(({rank} - 1) div {BITS} AS INT)")
+    return F.coalesce(F.get(F.col(masks), at).bitwiseAND(_bit(rank)) != 0, F.lit(False))
+
+
 def _masks_to_pairs(masks: DataFrame, top: DataFrame) -> DataFrame:
-    """(topic, w1, w2, n) from (topic, mask, n), w1 <= w2 by rank.
+    """(topic, w1, w2, n) from (topic, masks, n), w1 <= w2 by rank.
 
-    A mask names the topic words a unit of text holds, one bit per rank. Only
-    the distinct masks are compared with the word pairs of their topic.
+    The masks name the topic words a unit of text holds, one bit per rank. Only
+    distinct masks are compared with the word pairs of their topic.
     """
     words = top.groupBy("topic").agg(
         F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("_words")
@@ -394,44 +408,55 @@ def _masks_to_pairs(masks: DataFrame, top: DataFrame) -> DataFrame:
             )
         ),
     )
-    table = words.select("topic", F.inline(pairs)).withColumn(
-        "_bits",
-        F.expr("shiftleft(1L, r1 - 1)").bitwiseOR(F.expr("shiftleft(1L, r2 - 1)")),
-    )
+    table = words.select("topic", F.inline(pairs))
     return (
         table.join(masks, "topic", "left")
-        .withColumn("_hit", F.col("mask").bitwiseAND(F.col("_bits")) == F.col("_bits"))
+        .withColumn("_hit", _holds("masks", "r1") & _holds("masks", "r2"))
         .groupBy("topic", "r1", "r2", "w1", "w2")
         .agg(F.coalesce(F.sum(F.when(F.col("_hit"), F.col("n"))), F.lit(0)).alias("n"))
     )
 
 
-def _topic_words(top: DataFrame) -> DataFrame:
-    """One row per word with its (topic, bit) entries; at most 62 words a topic."""
+def _topic_words(top: DataFrame, n_words: int) -> DataFrame:
+    """One row per word with its (topic, mask number, bit) entries.
+
+    A rank beyond ``n_words`` is an error, as it would have no mask.
+    """
+    number = F.when(F.col("rank") <= n_words, F.expr(f"CAST((rank - 1) div {BITS} AS INT)")).otherwise(
+        F.raise_error(F.format_string(f"a topic has more than {n_words} words: rank %d", "rank")).cast("int")
+    )
     return top.groupBy("term").agg(
-        F.collect_list(F.struct("topic", F.expr("shiftleft(1L, rank - 1)").alias("bit"))).alias("_t")
+        F.collect_list(F.struct("topic", number.alias("number"), _bit("rank").alias("bit"))).alias("_t")
     )
 
 
-def cooccurrence(df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame) -> DataFrame:
+def _numbers(n_words: int) -> range:
+    return range(-(-n_words // BITS))
+
+
+def cooccurrence(df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, n_words: int = BITS) -> DataFrame:
     """Documents holding both words, for the word pairs of each topic.
 
-    Documents are reduced to one bit mask per topic, equal masks are counted,
-    and pairs are formed from the distinct masks, never inside a document.
+    Documents are reduced to bit masks per topic, equal ones are counted, and
+    pairs are formed from the distinct ones, never inside a document.
+    ``n_words`` is the length of the longest word list of a topic.
     """
     toks = F.col(tokens) if isinstance(tokens, str) else tokens
+    held = [F.bit_or(F.when(F.col("number") == i, F.col("bit")).otherwise(F.lit(0).cast("bigint"))) for i in _numbers(n_words)]
     hits = (
         df.select(id_col, F.explode(F.array_distinct(toks)).alias("term"))
-        .join(F.broadcast(_topic_words(top)), "term")
+        .join(small(_topic_words(top, n_words)), "term")
         .select(id_col, F.inline("_t"))
         .groupBy(id_col, "topic")
-        .agg(F.bit_or("bit").alias("mask"))
+        .agg(F.array(*held).alias("masks"))
     )
-    masks = hits.groupBy("topic", "mask").agg(F.count(F.lit(1)).alias("n"))
+    masks = hits.groupBy("topic", "masks").agg(F.count(F.lit(1)).alias("n"))
     return _masks_to_pairs(masks, top)
 
 
-def coherence_npmi(df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, min_co: int = 2, eps: float = 1e-12) -> DataFrame:
+def coherence_npmi(
+    df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, min_co: int = 2, eps: float = 1e-12, n_words: int = BITS
+) -> DataFrame:
     """Per topic the mean NPMI of its word pairs and the number of pairs used.
 
     Probabilities are over all documents. Pairs met in fewer than ``min_co``
@@ -439,7 +464,7 @@ def coherence_npmi(df: DataFrame, id_col: str, tokens: Column | str, top: DataFr
     mean over the topics listed.
     """
     n_docs = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    cells = cooccurrence(df, id_col, tokens, top)
+    cells = materialize(cooccurrence(df, id_col, tokens, top, n_words), "cells")
     single = cells.where(F.col("r1") == F.col("r2")).select("topic", F.col("r1").alias("_r"), F.col("n").alias("_df"))
     one = single.select("topic", F.col("_r").alias("r1"), F.col("_df").alias("_n1"))
     two = single.select("topic", F.col("_r").alias("r2"), F.col("_df").alias("_n2"))
@@ -457,8 +482,10 @@ def coherence_npmi(df: DataFrame, id_col: str, tokens: Column | str, top: DataFr
     return pairs.groupBy("topic").agg(F.avg("npmi").alias("npmi"), F.count(F.lit(1)).alias("n_pairs"))
 
 
-def window_masks(df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, window: int = 110) -> DataFrame:
-    """(topic, mask, n): sliding windows by the topic words they hold.
+def window_masks(
+    df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, window: int = 110, n_words: int = BITS
+) -> DataFrame:
+    """(topic, masks, n): sliding windows by the topic words they hold.
 
     Windows are never listed. An occurrence at p lies in the windows starting
     in (p - window, p]; per word these ranges are made disjoint, so each is a
@@ -471,10 +498,10 @@ def window_masks(df: DataFrame, id_col: str, tokens: Column | str, top: DataFram
         F.greatest(F.size("_toks") - window, F.lit(0)).alias("_last"),
         F.posexplode("_toks").alias("p", "term"),
     )
-    hits = rows.join(F.broadcast(_topic_words(top)), "term").select(
+    hits = rows.join(small(_topic_words(top, n_words)), "term").select(
         id_col, "_last", "p", F.inline("_t")
     )
-    same_word = W.partitionBy(id_col, "topic", "bit").orderBy("p")
+    same_word = W.partitionBy(id_col, "topic", "number", "bit").orderBy("p")
     ranges = (
         hits.repartition(id_col)
         .withColumn("_before", F.lag("p").over(same_word))
@@ -490,25 +517,31 @@ def window_masks(df: DataFrame, id_col: str, tokens: Column | str, top: DataFram
             id_col, "topic", "_last",
             F.inline(
                 F.array(
-                    F.struct(F.col("_from").alias("at"), F.col("bit").alias("delta")),
-                    F.struct((F.col("_to") + 1).alias("at"), (-F.col("bit")).alias("delta")),
+                    F.struct(F.col("_from").alias("at"), "number", F.col("bit").alias("delta")),
+                    F.struct((F.col("_to") + 1).alias("at"), "number", (-F.col("bit")).alias("delta")),
                 )
             ),
         )
         .groupBy(id_col, "topic", "at")
-        .agg(F.sum("delta").alias("delta"), F.max("_last").alias("_last"))
+        .agg(
+            *[F.sum(F.when(F.col("number") == i, F.col("delta")).otherwise(0)).alias(f"_d{i}") for i in _numbers(n_words)],
+            F.max("_last").alias("_last"),
+        )
     )
     sweep = W.partitionBy(id_col, "topic").orderBy("at")
+    masks = F.array(*[F.sum(f"_d{i}").over(sweep) for i in _numbers(n_words)])
     return (
-        switches.withColumn("mask", F.sum("delta").over(sweep))
+        switches.withColumn("masks", masks)
         .withColumn("_next", F.coalesce(F.lead("at").over(sweep), F.col("_last") + 1))
-        .where((F.col("mask") != 0) & (F.col("_next") > F.col("at")))
-        .groupBy("topic", "mask")
+        .where(F.exists("masks", lambda m: m != 0) & (F.col("_next") > F.col("at")))
+        .groupBy("topic", "masks")
         .agg(F.sum(F.col("_next") - F.col("at")).alias("n"))
     )
 
 
-def coherence_cv(df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, window: int = 110, eps: float = 1e-12) -> DataFrame:
+def coherence_cv(
+    df: DataFrame, id_col: str, tokens: Column | str, top: DataFrame, window: int = 110, eps: float = 1e-12, n_words: int = BITS
+) -> DataFrame:
     """Per topic the c_v coherence of its words.
 
     Each word's NPMI with all words of its topic, taken over sliding windows,
@@ -518,7 +551,7 @@ def coherence_cv(df: DataFrame, id_col: str, tokens: Column | str, top: DataFram
     n_windows = df.agg(
         F.sum(F.when(F.size(toks) > 0, F.greatest(F.size(toks) - window + 1, F.lit(1))).otherwise(0)).cast("double").alias("n")
     ).scalar()
-    cells = _masks_to_pairs(window_masks(df, id_col, toks, top, window), top)
+    cells = materialize(_masks_to_pairs(window_masks(df, id_col, toks, top, window, n_words), top), "cells")
     single = cells.where(F.col("r1") == F.col("r2"))
     one = single.select("topic", "r1", F.col("n").alias("_n1"))
     two = single.select("topic", "r2", F.col("n").alias("_n2"))

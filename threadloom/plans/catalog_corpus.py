@@ -204,16 +204,18 @@ def boilerplate(t):
     "pick_text",
     """SELECT doc_id, length(coalesce(nullif(a, ''), nullif(b, ''), '')) AS text_len FROM (
       SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' ELSE text END AS a,
-        CASE WHEN doc_id % 5 = 0 THEN NULL ELSE split_part(text, ' ', 1) END AS b FROM documents)""",
+        CASE WHEN doc_id % 3 = 2 THEN split_part(text, ' ', 1) ELSE text END AS b FROM documents
+      UNION ALL SELECT * FROM (VALUES (-1, NULL, NULL), (-2, '', ''), (-3, '', NULL)) AS edges(doc_id, a, b))""",
 )
 def pick_text(t):
     i = F.col("doc_id")
     docs = t.read("documents").select(
         i,
         F.when(i % 3 == 0, F.lit(None)).when(i % 3 == 1, "").otherwise(F.col("text")).alias("text_all"),
-        F.when(i % 5 == 0, F.lit(None)).otherwise(F.split_part("text", F.lit(" "), F.lit(1))).alias("text_main"),
+        F.when(i % 3 == 2, F.split_part("text", F.lit(" "), F.lit(1))).otherwise(F.col("text")).alias("text_main"),
     )
-    return po.pick_text(docs, ["text_all", "text_main"]).select(
+    edges = t.spark.createDataFrame([(-1, None, None), (-2, "", ""), (-3, "", None)], "doc_id long, text_all string, text_main string")
+    return po.pick_text(docs.unionByName(edges), ["text_all", "text_main"]).select(
         "doc_id", F.length("text").cast("bigint").alias("text_len")
     )
 

@@ -27,19 +27,21 @@ def lexicon(t):
     return emo.build_lexicon(t.spark.createDataFrame(LEXICON, "word string, emotion string, score string"))
 
 
+EDGES = [(-1, ""), (-2, "123 456"), (-3, "never very scared")]  # texts that the table may not hold
+
+
 def framed(t):
-    return t.texts().select(
-        "doc_id",
-        F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "123 456")
-        .otherwise(F.concat(F.lit(HEAD), "text", F.lit(TAIL))).alias("text"),
-    )
+    """All texts in their frame, and a few edge texts."""
+    edges = t.spark.createDataFrame(EDGES, "doc_id long, text string")
+    return t.texts().select("doc_id", F.concat(F.lit(HEAD), "text", F.lit(TAIL)).alias("text")).unionByName(edges)
 
 
 LEX = "lex(word, emotion) AS (VALUES " + ", ".join(
     f"({quoted(w.lower())}, {quoted(e)})" for w, e, s in LEXICON if s == "1" and e in ref.EMOTIONS
 ) + ")"
-TOKENS = f"""src AS (SELECT doc_id, regexp_extract_all(lower(CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN '123 456'
-    ELSE {quoted(HEAD)} || text || {quoted(TAIL)} END), '[a-z]+') AS ws FROM documents),
+TOKENS = f"""framed AS (SELECT doc_id, {quoted(HEAD)} || text || {quoted(TAIL)} AS text FROM documents
+    UNION ALL SELECT * FROM (VALUES {", ".join(f"({i}, {quoted(x)})" for i, x in EDGES)}) AS edges(doc_id, text)),
+src AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS ws FROM framed),
 toks AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM src),
 flags AS (SELECT *, max(CASE WHEN word IN {in_list(ref.NEGATORS)} THEN 1 ELSE 0 END) OVER w AS neg,
     max(CASE WHEN word IN {in_list(ref.INTENSIFIERS)} THEN 1 ELSE 0 END) OVER w AS strong

@@ -126,16 +126,16 @@ def prompt(t):
 
 @query(
     "parse_response",
-    """WITH r AS (SELECT event_id, event_id % 7 AS k, CAST(json_extract_string(props, '$.k') AS INTEGER) AS v FROM events)
+    """WITH r AS (SELECT event_id, event_id % 10 AS k, CAST(json_extract_string(props, '$.k') AS INTEGER) AS v FROM events)
     SELECT event_id,
-      CASE k WHEN 0 THEN 'ANXIETY' WHEN 1 THEN 'NOT_ANXIETY' WHEN 2 THEN 'ERROR' WHEN 3 THEN 'UNKNOWN' WHEN 4 THEN 'UNKNOWN' WHEN 5 THEN 'ANXIETY' ELSE 'ERROR' END AS ai_category,
-      CASE WHEN k IN (0, 1, 5) THEN v % 6 ELSE 0 END AS ai_severity,
-      CASE WHEN k IN (0, 1) THEN round(v / 100.0::DOUBLE, 2) WHEN k = 3 THEN 0.5 ELSE 0.0 END AS ai_confidence FROM r""",
+      CASE k WHEN 0 THEN 'ANXIETY' WHEN 1 THEN 'NOT_ANXIETY' WHEN 2 THEN 'ERROR' WHEN 3 THEN 'UNKNOWN' WHEN 4 THEN 'UNKNOWN' WHEN 5 THEN 'ANXIETY' WHEN 7 THEN NULL WHEN 8 THEN 'PANIC' ELSE 'ERROR' END AS ai_category,
+      CAST(CASE WHEN k IN (0, 1, 5) THEN v % 6 WHEN k = 7 THEN NULL WHEN k = 8 THEN v % 6 + 0.7 ELSE 0 END AS DOUBLE) AS ai_severity,
+      CASE WHEN k IN (0, 1) THEN round(v / 100.0::DOUBLE, 2) WHEN k IN (3, 7) THEN 0.5 ELSE 0.0 END AS ai_confidence FROM r""",
 )
 def parse_response(t):
     """Clean, fenced, malformed and incomplete answers built from ``props``."""
     v = F.get_json_object("props", "$.k").cast("int")
-    k = F.col("event_id") % 7
+    k = F.col("event_id") % 10
 
     def answer(category: str):
         return F.format_string('{"category": "' + category + '", "severity": %d, "confidence": %.2f}', v % 6, v / 100.0)
@@ -147,7 +147,10 @@ def parse_response(t):
         .when(k == 3, F.lit('{"confidence": 0.5}'))
         .when(k == 4, F.col("props"))
         .when(k == 5, F.concat(F.lit("```\n"), F.format_string('{"category": "ANXIETY", "severity": %d}', v % 6), F.lit("\n```")))
-        .otherwise(F.lit("null"))
+        .when(k == 6, F.lit("null"))
+        .when(k == 7, F.lit('{"category": null, "severity": null, "confidence": 0.5}'))
+        .when(k == 8, F.format_string('{"category": "PANIC", "severity": %d.7}', v % 6))
+        .otherwise(F.lit("{}"))
     )
     events = t.read("events").select("event_id", raw.alias("raw"))
     return lb.parse_response(events).drop("raw")
@@ -178,10 +181,28 @@ def label_summary(t):
 
 # --- comparison -------------------------------------------------------------
 
-GROUP_STATS = """a AS (SELECT subreddit, round(avg(CAST(ai_category = 'ANXIETY' AS INTEGER)) * 100, 2) AS ai_rate,
-  round(avg(TRY_CAST(ai_severity AS DOUBLE)), 2) AS ai_mean, count(*) AS ai_count FROM ai WHERE subreddit <> (SELECT min(source) FROM documents) GROUP BY subreddit),
+# one group more on either side, so that each side has one that the other lacks
+ONLY_AI, ONLY_HAND = "only-ai", "only-hand"
+AI_MORE = f"ai_more AS (SELECT subreddit, ai_category, ai_severity FROM ai UNION ALL SELECT '{ONLY_AI}', 'ANXIETY', '3')"
+HAND_MORE = f"hand_more AS (SELECT subreddit, anxiety_level, anxiety_rating FROM hand UNION ALL SELECT '{ONLY_HAND}', 1, '4')"
+
+
+def ai_more(t):
+    more = t.spark.createDataFrame([("x1", ONLY_AI, "ANXIETY", "3")], "post_id string, subreddit string, ai_category string, ai_severity string")
+    return t.ai().select(more.columns).unionByName(more)
+
+
+def hand_more(t):
+    more = t.spark.createDataFrame([("x2", ONLY_HAND, 1, "4")], "post_id string, subreddit string, anxiety_level int, anxiety_rating string")
+    return t.hand().select(more.columns).unionByName(more)
+
+
+GROUP_STATS = f"""{AI_MORE},
+{HAND_MORE},
+a AS (SELECT subreddit, round(avg(CAST(ai_category = 'ANXIETY' AS INTEGER)) * 100, 2) AS ai_rate,
+  round(avg(TRY_CAST(ai_severity AS DOUBLE)), 2) AS ai_mean, count(*) AS ai_count FROM ai_more GROUP BY subreddit),
 h AS (SELECT subreddit, round(avg(anxiety_level) * 100, 2) AS human_rate, round(avg(TRY_CAST(anxiety_rating AS DOUBLE)), 2) AS human_mean, count(*) AS human_count
-  FROM hand WHERE subreddit <> (SELECT max(source) FROM documents) GROUP BY subreddit),
+  FROM hand_more GROUP BY subreddit),
 cmp AS (SELECT subreddit, coalesce(ai_rate, 0) AS ai_rate, coalesce(ai_mean, 0) AS ai_mean, coalesce(ai_count, 0) AS ai_count,
   coalesce(human_rate, 0) AS human_rate, coalesce(human_mean, 0) AS human_mean, coalesce(human_count, 0) AS human_count FROM a FULL JOIN h USING (subreddit))"""
 
@@ -189,11 +210,8 @@ cmp AS (SELECT subreddit, coalesce(ai_rate, 0) AS ai_rate, coalesce(ai_mean, 0)
 def _group_stats(t):
     from threadloom.operators.profile import rates_by_group
 
-    docs = t.read("documents")
-    ai = t.ai().withColumn("_x", docs.agg(F.min("source").alias("m")).scalar()).where("subreddit <> _x")
-    ai = ai.withColumn("sev", num.to_number("ai_severity"))
-    hand = t.hand().withColumn("_x", docs.agg(F.max("source").alias("m")).scalar()).where("subreddit <> _x")
-    hand = hand.withColumn("rating", num.to_number("anxiety_rating"))
+    ai = ai_more(t).withColumn("sev", num.to_number("ai_severity"))
+    hand = hand_more(t).withColumn("rating", num.to_number("anxiety_rating"))
     return lb.compare_groups(
         rates_by_group(ai, "subreddit", lb.is_positive_category(), "sev", "ai"),
         rates_by_group(hand, "subreddit", F.col("anxiety_level") == 1, "rating", "human"),
@@ -273,17 +291,15 @@ def confidence_by_severity(t):
 @query(
     "share_compare",
     with_ctes(
-        HAND, AI,
-        "l AS (SELECT subreddit, count(*) AS n FROM ai WHERE subreddit <> (SELECT min(source) FROM documents) GROUP BY subreddit)",
+        HAND, AI, AI_MORE,
+        "l AS (SELECT subreddit, count(*) AS n FROM ai_more GROUP BY subreddit)",
         "r AS (SELECT subreddit, count(*) AS n FROM hand GROUP BY subreddit)",
         """SELECT subreddit, round(coalesce(l.n / (SELECT sum(n) FROM l), 0), 6) AS share_left, round(coalesce(r.n / (SELECT sum(n) FROM r), 0), 6) AS share_right
         FROM l FULL JOIN r USING (subreddit)""",
     ),
 )
 def share_compare(t):
-    low = t.read("documents").agg(F.min("source").alias("m")).scalar()
-    ai = t.ai().withColumn("_x", low).where("subreddit <> _x")
-    return rounded(lb.share_compare(ai, t.hand()), "share_left", "share_right")
+    return rounded(lb.share_compare(ai_more(t), t.hand()), "share_left", "share_right")
 
 
 @query(

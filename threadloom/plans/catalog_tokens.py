@@ -306,14 +306,13 @@ def smart_truncate(t):
 
 @query(
     "topic_label",
-    """WITH w AS (SELECT doc_id, list_slice(regexp_extract_all(lower(text), '[a-z]+'), 1, 8) AS k FROM documents),
+    """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS k FROM documents),
     p AS (SELECT doc_id, k, CASE WHEN len(list_filter(k, lambda x: length(x) > 2)) > 0 THEN list_filter(k, lambda x: length(x) > 2) ELSE k END AS f FROM w),
     j AS (SELECT doc_id, k, array_to_string(list_slice(f, 1, 3), ' / ') AS s FROM p)
     SELECT doc_id, CASE WHEN len(k) = 0 THEN 'empty_topic' WHEN length(s) > 20 THEN substring(s, 1, 20) || '...' ELSE s END AS label FROM j""",
 )
 def topic_label(t):
-    terms = F.slice(tk.alpha_tokens("text"), 1, 8)
-    return t.texts().select("doc_id", tx.topic_label(terms, 3, 20).alias("label"))
+    return t.texts().select("doc_id", tx.topic_label(tk.alpha_tokens("text"), 3, 20).alias("label"))
 
 
 @query(

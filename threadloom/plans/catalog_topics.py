@@ -20,6 +20,11 @@ FLAT = "flat AS (SELECT doc_id, topic, unnest(toks) AS term, unnest(range(len(to
 CELLS = """cells AS (SELECT topic, term, count(*) AS tf FROM flat GROUP BY topic, term)"""
 TOP = """top AS (SELECT topic, term, n, rank FROM (SELECT topic, term, tf AS n, row_number() OVER (PARTITION BY topic ORDER BY tf DESC, term) AS rank FROM cells) WHERE rank <= 8 AND topic >= 0)"""
 
+# up to three words of more than two letters, or of any length if a topic has no longer ones
+LABELS = """k AS (SELECT topic, list(term ORDER BY rank) AS k FROM top GROUP BY topic),
+f AS (SELECT topic, CASE WHEN len(list_filter(k, lambda x: length(x) > 2)) > 0 THEN list_filter(k, lambda x: length(x) > 2) ELSE k END AS f FROM k),
+j AS (SELECT topic, array_to_string(list_slice(f, 1, 3), ' / ') AS s FROM f)"""
+
 
 def docs(t, min_len: int = 1):
     toks = tk.alpha_tokens("text")
@@ -104,7 +109,7 @@ def tfidf(t):
 @query(
     "lift_terms",
     with_ctes(
-        LONG, FLAT, CELLS,
+        DOCS, FLAT, CELLS,
         "sums AS (SELECT term, sum(tf) AS s FROM cells GROUP BY term)",
         """SELECT topic, term, CAST(rank AS INTEGER) AS rank, round(lift, 6) AS lift FROM (SELECT topic, term, tf / (s + 2.220446049250313e-16) AS lift,
           row_number() OVER (PARTITION BY topic ORDER BY tf / (s + 2.220446049250313e-16) DESC, term) AS rank FROM cells JOIN sums USING (term)) WHERE rank <= 12""",
@@ -117,7 +122,8 @@ def lift_terms(t):
 
 
 def _cells(t):
-    return tp.c_tfidf(docs(t, 6), "topic", "toks").select("topic", "term", F.col("tf").cast("double").alias("weight"))
+    cells = tp.c_tfidf(docs(t), "topic", "toks").select("topic", "term", F.col("tf").cast("double").alias("weight"))
+    return materialize(cells, "topic-words")
 
 
 @query("cross_topic_stops", with_ctes(DOCS, FLAT, CELLS, TOP, "SELECT term, count(*) AS n_topics FROM top GROUP BY term HAVING count(*) >= 2"))
@@ -128,7 +134,7 @@ def cross_topic_stops(t):
 @query(
     "topic_similarity",
     with_ctes(
-        LONG, FLAT, CELLS,
+        DOCS, FLAT, CELLS,
         "norms AS (SELECT topic, sqrt(sum(tf * tf)) AS n FROM cells GROUP BY topic)",
         """SELECT a.topic AS i, b.topic AS j, round(coalesce(sum(x.tf * y.tf), 0) / (any_value(a.n) * any_value(b.n)), 6) AS sim
         FROM norms a JOIN norms b ON a.topic < b.topic JOIN cells x ON x.topic = a.topic LEFT JOIN cells y ON y.topic = b.topic AND y.term = x.term GROUP BY a.topic, b.topic""",
@@ -141,7 +147,7 @@ def topic_similarity(t):
 @query(
     "mean_topic_cosine",
     with_ctes(
-        LONG, FLAT, CELLS,
+        DOCS, FLAT, CELLS,
         "norms AS (SELECT topic, sqrt(sum(tf * tf)) AS n FROM cells GROUP BY topic)",
         """sims AS (SELECT coalesce(sum(x.tf * y.tf), 0) / (any_value(a.n) * any_value(b.n)) AS sim
         FROM norms a JOIN norms b ON a.topic < b.topic JOIN cells x ON x.topic = a.topic LEFT JOIN cells y ON y.topic = b.topic AND y.term = x.term GROUP BY a.topic, b.topic)""",
@@ -219,26 +225,26 @@ def attach_topics(t):
 @query(
     "topic_names",
     with_ctes(
-        LONG, FLAT, CELLS, TOP,
-        "j AS (SELECT topic, string_agg(term, ' / ' ORDER BY rank) AS s FROM top WHERE rank <= 3 GROUP BY topic)",
+        DOCS, FLAT, CELLS, TOP,
+        LABELS,
         "SELECT topic, CASE WHEN length(s) > 35 THEN substring(s, 1, 35) || '...' ELSE s END AS topic_name FROM j",
     ),
 )
 def topic_names(t):
-    return tp.topic_names(top_words(t, docs(t, 6)))
+    return tp.topic_names(top_words(t, docs(t)))
 
 
 @query(
     "label_words",
     with_ctes(
-        LONG, FLAT, CELLS, TOP,
-        "j AS (SELECT topic, string_agg(term, ' / ' ORDER BY rank) AS s FROM top WHERE rank <= 3 GROUP BY topic)",
+        DOCS, FLAT, CELLS, TOP,
+        LABELS,
         "w AS (SELECT unnest(string_split(CASE WHEN length(s) > 35 THEN substring(s, 1, 35) || '...' ELSE s END, ' ')) AS word FROM j)",
         f"SELECT word, count(*) AS n FROM w WHERE word <> '' AND lower(word) NOT IN {in_list(ref.LABEL_NOISE)} GROUP BY word",
     ),
 )
 def label_words(t):
-    return tp.label_words(tp.topic_names(top_words(t, docs(t, 6))), ref.LABEL_NOISE)
+    return tp.label_words(tp.topic_names(top_words(t, docs(t))), ref.LABEL_NOISE)
 
 
 @query(
@@ -259,7 +265,7 @@ def cooccurrence(t):
 @query(
     "coherence_npmi",
     with_ctes(
-        LONG, FLAT, CELLS, TOP,
+        DOCS, FLAT, CELLS, TOP,
         "seen AS (SELECT DISTINCT doc_id, term FROM flat)",
         "df AS (SELECT term, count(*) AS df FROM seen GROUP BY term)",
         "pairs AS (SELECT a.topic, a.term AS w1, b.term AS w2 FROM top a JOIN top b ON a.topic = b.topic AND a.rank < b.rank)",
@@ -269,14 +275,14 @@ def cooccurrence(t):
     ),
 )
 def coherence_npmi(t):
-    d = docs(t, 6)
+    d = docs(t)
     return r6(tp.coherence_npmi(d, "doc_id", "toks", top_words(t, d)), "npmi")
 
 
 @query(
     "coherence_cv",
     with_ctes(
-        LONG, FLAT, CELLS, TOP,
+        DOCS, FLAT, CELLS, TOP,
         "lens AS (SELECT doc_id, len(toks) AS l, greatest(len(toks) - 110, 0) AS last FROM docs WHERE len(toks) > 0)",
         "total AS (SELECT sum(last + 1)::DOUBLE AS n FROM lens)",
         "occ AS (SELECT DISTINCT f.doc_id, f.term, unnest(range(greatest(f.pos - 109, 0), least(f.pos, l.last) + 1)) AS s FROM flat f JOIN lens l USING (doc_id) WHERE f.term IN (SELECT term FROM top))",
@@ -293,14 +299,14 @@ def coherence_npmi(t):
     ),
 )
 def coherence_cv(t):
-    d = docs(t, 6)
+    d = docs(t)
     out = tp.coherence_cv(d, "doc_id", "toks", top_words(t, d))
     return out.select("topic", F.round("c_v", 5).alias("c_v"))
 
 
 def _ctfidf_sql(local: str, spread: str) -> str:
     return with_ctes(
-        LONG, FLAT, CELLS,
+        DOCS, FLAT, CELLS,
         "lens AS (SELECT topic, sum(tf) AS l FROM cells GROUP BY topic)",
         "freq AS (SELECT term, sum(tf) AS f FROM cells GROUP BY term)",
         "avgl AS (SELECT floor(avg(l)) AS a FROM lens)",
@@ -309,7 +315,7 @@ def _ctfidf_sql(local: str, spread: str) -> str:
 
 
 def _ctfidf(t, **kw):
-    return tp.c_tfidf(docs(t, 6), "topic", "toks", **kw).withColumn("weight", F.round("weight", 9))
+    return tp.c_tfidf(docs(t), "topic", "toks", **kw).withColumn("weight", F.round("weight", 9))
 
 
 @query("c_tfidf", _ctfidf_sql("(tf / l)", "ln(1 + a / f)"))

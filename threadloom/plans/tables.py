@@ -23,15 +23,15 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def texts(self) -> DataFrame:
-        """``documents`` spread over all cores.
+        """``documents``, as the scan's splits deal them.
 
-        A file with fewer row groups than cores would leave most of them idle
-        in the text functions. A table cut into enough parts stays as it is.
+        The setting ``spark.threadloom.textPartitions`` spreads them over that many
+        parts first: of use where a small file holds all rows in one row group, as in
+        the benchmark, and a needless shuffle elsewhere.
         """
         docs = self.read("documents")
-        cores = self.spark.sparkContext.defaultParallelism
-        parts = docs.select("doc_id").rdd.getNumPartitions()
-        return docs.repartition(cores) if parts < cores else docs
+        spread = self.spark.conf.get("spark.threadloom.textPartitions", None)
+        return docs.repartition(int(spread)) if spread else docs
 
     def posts(self) -> DataFrame:
         """``documents`` as posts: some deleted, removed or adult by id."""
@@ -90,7 +90,11 @@ class Tables:
         )
 
     def ai(self) -> DataFrame:
-        """``documents`` with answers derived from id and length."""
+        """``documents`` with answers derived from id and length.
+
+        Stands for a set that is labelled in part, so a third has no answer; the
+        queries on rows still to be labelled need it.
+        """
         i, n = F.col("doc_id"), F.col("n_chars")
         return self.read("documents").where(i % 3 != 1).select(
             i.cast("string").alias("post_id"),
