@@ -79,17 +79,32 @@ def test_models_find_the_planted_signal(planted):
 
 
 def test_calibrated_bundle_roundtrip(spark, planted):
-    bundle, test = models.fit_calibrated(planted, "doc_id", max_iter=30)
+    scaler = {"doc_len": (1.5, 2.0), "has_url": (0.25, 1.0)}
+    bundle, test = models.fit_calibrated(planted, "doc_id", max_iter=30, scaler=scaler)
     rows = test.select("calibrated", "score").collect()
     assert all(0.0 <= r["calibrated"] <= 1.0 for r in rows)
     ordered = sorted((r["score"], r["calibrated"]) for r in rows)
     assert all(a[1] <= b[1] + 1e-12 for a, b in zip(ordered, ordered[1:])), "the map never falls"
     path = scratch_path(spark, "bundle")
     writers.save_bundle(bundle, spark, path)
+    assert writers.load_bundle(spark, path).scaler == scaler
     again = models.score(planted, writers.load_bundle(spark, path))
     assert again.agg(F.sum("calibrated")).first() == models.score(planted, bundle).agg(F.sum("calibrated")).first()
 
 
+def test_a_fitted_scaler_does_not_look_at_the_batch(spark):
+    docs = spark.createDataFrame([(i, "w " * (i + 1)) for i in range(6)], "doc_id long, text_all string")
+    scaler = feat.fit_scaler(feat.meta_features(docs))
+    vectors = spark.createDataFrame([], "doc_id long, indices array<int>, values array<double>, topics array<double>")
+
+    def rows(part):
+        built = models.build_features(part, vectors, "doc_id", 4, 2, scaler=scaler)
+        return {r["doc_id"]: r["features"] for r in built.collect()}
+
+    whole, half = rows(docs), rows(docs.where("doc_id < 2"))
+    assert all(whole[i] == half[i] for i in half)
+
+
 def test_tuning_ranks_configs(planted):
     rows = models.tune_lr(planted, "doc_id", LogRegGrid(cs=(0.001, 1.0), penalties=("l2",), folds=2, repeats=1, max_iter=20)).collect()
     assert len(rows) == 2

@@ -169,3 +169,30 @@ def test_long_word_lists_have_no_limit(spark):
     assert got == {(a, b): sum(a in s and b in s for s in windows) for i, a in enumerate(words) for b in words[i:]}
     with pytest.raises(Exception, match="more than 62 words"):
         tp.cooccurrence(docs, "doc_id", "toks", top).collect()
+
+
+def test_penalty_grows_with_the_documents(spark):
+    """One update from the start matrix, worked out with plain arrays."""
+    x = np.array([[1.0, 0.0, 2.0], [0.0, 3.0, 1.0], [2.0, 1.0, 0.0]])
+    rows = spark.createDataFrame(
+        [([int(j) for j in np.flatnonzero(r)], [float(v) for v in r[r > 0]]) for r in x], "indices array<int>, values array<double>"
+    )
+    config = NmfConfig(k=2, alpha_h=0.1, l1_ratio=0.7, max_iter=1, inner_steps=3)
+    for n_docs in (None, 5):  # two documents more that hold no term
+        scale = n_docs or 3
+        h = tp._start_topics(3, x.sum() / (scale * 3), config)
+        w = np.full((3, 2), 0.5)
+        for _ in range(3):
+            w = w * ((x / (w @ h)) @ h.T) / h.sum(axis=1)
+        want = h * (w.T @ (x / (w @ h))) / (w.sum(axis=0)[:, None] + scale * (0.07 + 0.03 * h))
+        got, _ = tp.fit_nmf(rows, 3, config, n_docs)
+        assert np.allclose(got, want, rtol=1e-6)
+
+
+def test_documents_without_known_terms_stay(spark):
+    docs = tokens(spark, [["a", "b"], ["a", "c"], ["b", "c"], ["zz"], []])
+    config = NmfConfig(k=2, max_iter=3, inner_steps=3, alpha_h=0.0)
+    model = models.fit_topics(docs.where("id < 3"), "id", "toks", None, LOOSE, config)
+    vectors = models.document_vectors(docs, "id", "toks", model, LOOSE, config)
+    got = {r["id"]: (r["topic"], r["conf"]) for r in tp.assign_topics(vectors.select("id", "topics"), model.names).collect()}
+    assert len(got) == 5 and got[3] == got[4] == (0, 0.0)

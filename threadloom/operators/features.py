@@ -373,6 +373,22 @@ def sparse_vector(size: Column | int, indices: Column, values: Column) -> Column
 
 META_COLUMNS = ["doc_len", "has_url", "emotion_score"]
 
+# Mean and deviation of each scaled column.
+Scaler = dict[str, tuple[float, float]]
+
+
+def fit_scaler(docs: DataFrame, columns: list[str] | None = None) -> Scaler:
+    """Means and population deviations over ``docs``; 1 for a constant column."""
+    columns = columns or META_COLUMNS
+    row = docs.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
+    ).first()
+    return {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in columns}
+
+
+def apply_scaler(docs: DataFrame, scaler: Scaler) -> DataFrame:
+    return docs.withColumns({c: (F.col(c) - mean) / dev for c, (mean, dev) in scaler.items()})
+
 
 def assemble(
     docs: DataFrame,
@@ -381,13 +397,18 @@ def assemble(
     n_topics: int,
     blocks: FeatureBlocks = BLOCKS_DEFAULT,
     out: str = "features",
+    scaler: Scaler | None = None,
 ) -> DataFrame:
     """Join the chosen blocks into one sparse vector, NaN as 0.
 
+    Meta columns are scaled by ``scaler``, or by the statistics of the rows at hand.
+
     ``docs`` carries the columns of the blocks: ``indices``/``values``
     (TF-IDF), ``topics`` (weights), and the meta columns.
     """
-    if blocks.meta and blocks.scale_meta:
+    if blocks.meta and blocks.scale_meta and scaler:
+        docs = apply_scaler(docs, scaler)
+    elif blocks.meta and blocks.scale_meta:
         fit = docs.where(F.col("is_train")) if blocks.fit_on == "train" else None
         docs = zscale(docs, META_COLUMNS, "", fit)
     start = 0

@@ -83,7 +83,7 @@ def fit_topics(
         raise ValueError("no term passes the vocabulary bounds")
     weights = feat.tfidf(terms, vocab, id_col)
     rows = materialize(feat.tfidf_rows(weights, id_col), "tfidf-rows")
-    matrix, history = topic_ops.fit_nmf(rows, len(words), nmf_config)
+    matrix, history = topic_ops.fit_nmf(rows, len(words), nmf_config, docs.count())
     table = topic_ops.topic_table(spark, matrix, words)
     sums = rows.select(F.inline(F.arrays_zip("indices", "values"))).groupBy("indices").agg(
         F.sum("values").alias("term_sum")
@@ -101,12 +101,17 @@ def auto_stop_words(docs: DataFrame, id_col: str, tokens: str, vocab_config: Voc
 
 
 def document_vectors(docs: DataFrame, id_col: str, tokens: str, model: TopicModel, vocab_config: VocabConfig = VOCAB_DEFAULT, nmf_config: NmfConfig = NMF_DEFAULT, stops: list[str] | None = None) -> DataFrame:
-    """(id, indices, values, topics) for new documents and a fitted model.
+    """(id, indices, values, topics), one row for every document, under a fitted model.
 
-    Documents without known terms are missing here; join from the left.
+    A document without known terms has no cells and zero weights for all topics.
     """
     terms = feat.model_terms(docs, id_col, tokens, stops, vocab_config)
-    rows = feat.tfidf_rows(feat.tfidf(terms, model.vocab, id_col), id_col)
+    known = feat.tfidf_rows(feat.tfidf(terms, model.vocab, id_col), id_col)
+    rows = docs.select(id_col).join(known, id_col, "left").select(
+        id_col,
+        F.coalesce("indices", F.array().cast("array<int>")).alias("indices"),
+        F.coalesce("values", F.array().cast("array<double>")).alias("values"),
+    )
     return topic_ops.nmf_transform(rows, model.matrix, nmf_config)
 
 
@@ -118,11 +123,15 @@ def build_features(
     n_topics: int,
     blocks: FeatureBlocks = BLOCKS_DEFAULT,
     text: str = "text_all",
+    scaler: feat.Scaler | None = None,
 ) -> DataFrame:
-    """Labelled posts with meta features and the assembled vector."""
+    """Labelled posts with meta features and the assembled vector.
+
+    A fitted ``scaler`` makes a post's vector independent of the posts beside it.
+    """
     meta = feat.meta_features(labelled, text, blocks.log_length)
     joined = meta.join(vectors, id_col, "left")
-    return feat.assemble(joined, id_col, n_terms, n_topics, blocks)
+    return feat.assemble(joined, id_col, n_terms, n_topics, blocks, scaler=scaler)
 
 
 # --- training ---------------------------------------------------------------
@@ -232,12 +241,14 @@ class ScoringBundle:
     model: LogisticRegressionModel
     calibration: IsotonicRegressionModel
     threshold: float
+    scaler: feat.Scaler | None = None
 
 
-def fit_calibrated(df: DataFrame, id_col: str, c: float = 3.0, penalty: str = "l2", seed: int = 42, label: str = "label", max_iter: int = 4000) -> tuple[ScoringBundle, DataFrame]:
+def fit_calibrated(df: DataFrame, id_col: str, c: float = 3.0, penalty: str = "l2", seed: int = 42, label: str = "label", max_iter: int = 4000, scaler: feat.Scaler | None = None) -> tuple[ScoringBundle, DataFrame]:
     """Train, calibrate and pick the threshold on a 60/20/20 split.
 
-    Returns the bundle and the calibrated test rows.
+    Returns the bundle and the calibrated test rows. The scaler that the features
+    were made with goes into the bundle.
     """
     split = materialize(
         sampling.stratified_split(df, id_col, label, {"train": 0.6, "calibration": 0.2, "test": 0.2}, seed),
@@ -248,7 +259,7 @@ def fit_calibrated(df: DataFrame, id_col: str, c: float = 3.0, penalty: str = "l
     iso = calibrate(cal, label)
     best = evaluate.best_threshold(apply_calibration(iso, cal), label, "calibrated").first()
     threshold = float(best["threshold"]) if best else 0.5
-    bundle = ScoringBundle(model, iso, threshold)
+    bundle = ScoringBundle(model, iso, threshold, scaler)
     return bundle, score(split.where("split = 'test'"), bundle)
 
 
@@ -376,12 +387,3 @@ def contributions(weights: DataFrame, coefs: DataFrame, id_col: str, n: int = 8)
         .where(F.col("rank") <= n)
         .select(id_col, "side", "rank", "term", "contribution")
     )
-
-
-def meta_scaler(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return zscale(df, columns or feat.META_COLUMNS)
-
-
-def label_tokens(df: DataFrame, text: str = "text_all", out: str = "tokens") -> DataFrame:
-    """The classifier's own tokenizer."""
-    return df.withColumn(out, simple_tokens(text))

@@ -49,8 +49,9 @@ def _doc_weights(batch: pd.DataFrame, h: np.ndarray, config: NmfConfig, steps: i
     k = h.shape[0]
     w = np.full((len(sizes), k), 1.0 / k)
     h_cells = h[:, cols].T
-    column_sums = h.sum(axis=1) + config.alpha_w * config.l1_ratio
-    ridge = config.alpha_w * (1.0 - config.l1_ratio)
+    n_terms = h.shape[1]  # the penalty on the weights is scaled by it
+    column_sums = h.sum(axis=1) + config.alpha_w * config.l1_ratio * n_terms
+    ridge = config.alpha_w * (1.0 - config.l1_ratio) * n_terms
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, np.int64)
     filled = sizes > 0
     for _ in range(steps):
@@ -75,9 +76,14 @@ def _start_topics(n_terms: int, mean: float, config: NmfConfig) -> np.ndarray:
     return np.abs(rng.standard_normal((config.k, n_terms))) * scale + EPS
 
 
-def fit_nmf(rows: DataFrame, n_terms: int, config: NmfConfig = NMF_DEFAULT) -> tuple[np.ndarray, list[float]]:
+def fit_nmf(
+    rows: DataFrame, n_terms: int, config: NmfConfig = NMF_DEFAULT, n_docs: int | None = None
+) -> tuple[np.ndarray, list[float]]:
     """Fit topics x terms on (indices, values) rows.
 
+    The penalty on the topics is scaled by the number of documents, so its weight
+    stays the same as data grows; ``n_docs`` counts documents without a row too.
+
     Each iteration is one narrow pass. A task solves its documents' weights for
     the current topics and returns one partial sum per (topic, term); these are
     summed by key. No state but the topic matrix (k x vocabulary numbers) moves
@@ -94,7 +100,8 @@ def fit_nmf(rows: DataFrame, n_terms: int, config: NmfConfig = NMF_DEFAULT) -> t
     ).first()
     if not stats["n"]:
         raise ValueError("no documents to factorise")
-    mean = (stats["total"] or 0.0) / (stats["n"] * n_terms)
+    scale = float(stats["n"] if n_docs is None else n_docs)
+    mean = (stats["total"] or 0.0) / (scale * n_terms)
     h = _start_topics(n_terms, mean, config)
     history: list[float] = []
     steps = config.inner_steps
@@ -138,8 +145,8 @@ def fit_nmf(rows: DataFrame, n_terms: int, config: NmfConfig = NMF_DEFAULT) -> t
         cells = sums[sums.term_id >= 0]
         numer = np.zeros_like(h)
         numer[cells.topic.to_numpy(), cells.term_id.to_numpy()] = cells.value.to_numpy()
-        l1 = config.alpha_h * config.l1_ratio
-        l2 = config.alpha_h * (1.0 - config.l1_ratio)
+        l1 = config.alpha_h * config.l1_ratio * scale
+        l2 = config.alpha_h * (1.0 - config.l1_ratio) * scale
         penalty = l1 * float(h.sum()) + 0.5 * l2 * float((h * h).sum())
         history.append(loss + penalty)
         h = h * numer / (totals[:, None] + l1 + l2 * h + EPS)

@@ -16,7 +16,7 @@ from threadloom.sources import writers
 VOCAB = VocabConfig(min_df=5, max_df=0.5, max_features=800)
 NMF = NmfConfig(k=5, max_iter=6, inner_steps=5)
 FOREST = ForestConfig(trees=12, max_depth=8)
-STEPS = 60
+STEPS = 4000  # the stopping tolerance decides
 
 
 def training_rows(t):
@@ -34,10 +34,20 @@ def training_rows(t):
 
 def feature_rows(t):
     labelled, vectors, model = training_rows(t)
-    rows = models.build_features(labelled, vectors, "doc_id", model.n_terms, model.k)
+    scaler = feat.fit_scaler(feat.meta_features(labelled))
+    rows = models.build_features(labelled, vectors, "doc_id", model.n_terms, model.k, scaler=scaler)
     return materialize(rows.select("doc_id", "label", "quality", "features"), "features"), model
 
 
+def with_bundle(t):
+    """What batch scoring starts from: labelled rows, their vectors, the model and a fitted bundle."""
+    labelled, vectors, model = training_rows(t)
+    scaler = feat.fit_scaler(feat.meta_features(labelled))
+    rows = materialize(models.build_features(labelled, vectors, "doc_id", model.n_terms, model.k, scaler=scaler), "features")
+    bundle, test = models.fit_calibrated(rows, "doc_id", max_iter=STEPS, scaler=scaler)
+    return labelled, vectors, model, bundle, test
+
+
 def r6(df, *columns):
     for c in columns:
         df = df.withColumn(c, F.round(c, 6))
@@ -87,7 +97,7 @@ def bootstrap_ci(t):
 @query("ablation")
 def ablation(t):
     labelled, vectors, model = training_rows(t)
-    return r6(models.ablation(labelled, vectors, "doc_id", model.n_terms, model.k, max_iter=20), "auc", "ap")
+    return r6(models.ablation(labelled, vectors, "doc_id", model.n_terms, model.k, max_iter=STEPS), "auc", "ap")
 
 
 @query("source_comparison")
@@ -115,7 +125,7 @@ def importance_share(t):
 @query("learning_curve")
 def learning_curve(t):
     rows, _ = feature_rows(t)
-    return r6(models.learning_curve(rows, "doc_id", max_iter=20), "auc", "ap")
+    return r6(models.learning_curve(rows, "doc_id", max_iter=STEPS), "auc", "ap")
 
 
 @query("contributions")
@@ -133,8 +143,7 @@ def contributions(t):
 @query("bundle_roundtrip")
 def bundle_roundtrip(t):
     """Scores of a saved and reloaded bundle beside the original ones."""
-    rows, model = feature_rows(t)
-    bundle, test = models.fit_calibrated(rows, "doc_id", max_iter=20)
+    _labelled, _vectors, model, bundle, test = with_bundle(t)
     path = scratch_path(t.spark, "bundle")
     writers.save_bundle(bundle, t.spark, path)
     writers.save_topic_model(model, f"{path}/topics")
@@ -147,3 +156,26 @@ def bundle_roundtrip(t):
     )
 
 
+
+
+@query(
+    "batch_scaling",
+    "SELECT 0 AS n_different, count(*) AS n FROM documents JOIN labels USING (doc_id)",
+)
+def batch_scaling(t):
+    """Rows whose score under one loaded bundle differs between a half batch and the whole."""
+    labelled, vectors, model, bundle, _ = with_bundle(t)
+    path = scratch_path(t.spark, "bundle")
+    writers.save_bundle(bundle, t.spark, path)
+    loaded = writers.load_bundle(t.spark, path)
+
+    def scored(part):
+        rows = models.build_features(part, vectors, "doc_id", model.n_terms, model.k, scaler=loaded.scaler)
+        return models.score(rows.select("doc_id", "features"), loaded).select("doc_id", "calibrated", "score")
+
+    whole = scored(labelled)
+    halves = scored(labelled.where("doc_id % 2 = 0")).unionByName(scored(labelled.where("doc_id % 2 = 1")))
+    both = whole.join(halves.select("doc_id", F.col("score").alias("_s"), F.col("calibrated").alias("_c")), "doc_id")
+    return both.agg(
+        F.count_if((F.col("score") != F.col("_s")) | (F.col("calibrated") != F.col("_c"))).alias("n_different"), F.count(F.lit(1)).alias("n")
+    )

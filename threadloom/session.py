@@ -29,11 +29,15 @@ def build_session(app: str = "threadloom", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
     It is the one the cluster names in ``spark.checkpoint.dir``. Where none is
-    named (a local test) a temporary folder is made and set.
+    named a local session gets a temporary folder, which goes when Python ends; on
+    a cluster that is an error, as executors would each write to their own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -42,14 +46,30 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
-        current = tempfile.mkdtemp(prefix="threadloom-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        _LOCAL.append(tempfile.TemporaryDirectory(prefix="threadloom-"))
+        current = _LOCAL[-1].name
         spark.sparkContext.setCheckpointDir(current)
     return current
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/threadloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's folder in the shared one."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/threadloom/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written between its passes.
+
+    For the caller to call when no frame made from it is needed any more.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
