@@ -154,3 +154,39 @@ def test_nll_of_impossible_class(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (0, [0.5, 0.5])], "label int, probs array<double>")
     got = sorted(r["nll"] for r in ev.nll(df).collect())
     assert got[0] == pytest.approx(math.log(2)) and math.isinf(got[1])
+
+
+def test_a_large_lexicon_gives_the_same_scores(spark, monkeypatch):
+    from threadloom.operators import emotion
+
+    lexicon = emotion.build_lexicon(spark.createDataFrame([("the", "fear", "1"), ("happy", "joy", "1")], "word string, emotion string, score string"))
+    docs = spark.createDataFrame([(1, "the very happy the"), (2, ""), (3, "nothing here"), (4, "not the")], "id int, text string")
+
+    def scores():
+        return sorted(map(tuple, emotion.score_emotions(docs, lexicon, "id").select("id", "n_tokens", "raw", "norm").collect()))
+
+    broadcast = scores()
+    monkeypatch.setattr(emotion, "BROADCAST_ROWS", 0)
+    assert scores() == broadcast and len(broadcast) == 4
+    keys = emotion.matches(docs, lexicon, "id", emotion.alpha_tokens("text")).where("word = ''")
+    assert keys.where("pos >= 0").isEmpty()
+
+
+def test_bootstrap_equals_plain_weights(spark):
+    """Each replicate against weighted measures over all rows, whatever the ranges and blocks."""
+    import numpy as np
+
+    df = spark.range(60).select(F.col("id"), (F.col("id") * 7 % 5 < 2).cast("int").alias("label"), (F.col("id") * 13 % 17 / 17.0).alias("score"))
+    rows = df.select(F.xxhash64("id").alias("h"), "label", "score").collect()
+    w = ev.poisson_weights(np.array([r["h"] for r in rows]), 40, 42)
+    assert 0.9 < w.mean() < 1.1
+    y, s = np.array([r["label"] for r in rows]), np.array([r["score"] for r in rows])
+    want = {}
+    for b in range(40):
+        wp, wn = w[:, b] * (y == 1), w[:, b] * (y == 0)
+        won = sum(wp[i] * wn[j] * ((s[i] > s[j]) + 0.5 * (s[i] == s[j])) for i in range(60) for j in range(60))
+        ap = sum(wp[s == t].sum() / wp.sum() * wp[s >= t].sum() / max((wp + wn)[s >= t].sum(), 1) for t in set(s))
+        want[b + 1] = (won / (wp.sum() * wn.sum()), ap)
+    for parts, block in ((1, 2000), (4, 3)):
+        got = {r["replicate"]: (r["auc"], r["ap"]) for r in ev.bootstrap(df, "id", n_boot=40, parts=parts, block=block).collect()}
+        assert all(got[k] == pytest.approx(want[k]) for k in want) and len(got) == 40

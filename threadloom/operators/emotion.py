@@ -20,12 +20,18 @@ from threadloom.operators.posts import pick_text
 BROADCAST_ROWS = 2_000_000
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether a look-up table is small enough to broadcast; the count stops at the limit."""
+    limit = BROADCAST_ROWS if limit is None else limit
+    return df.limit(limit + 1).count() <= limit
+
+
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Mark a look-up table for broadcast when its row count allows it.
 
-    The count stops at the limit. A larger table is joined by shuffle.
+    A larger table is joined by shuffle, where Spark splits frequent words.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if fits(df, limit) else df
 
 
 def build_lexicon(rows: DataFrame, emotions: list[str] | None = None) -> DataFrame:
@@ -95,9 +101,11 @@ def matches(
     """One row per matched token with its emotions, and one empty row per document.
 
     ``weight`` is 1, times the intensifier weight once, times -1 once when
-    negated. The empty row (position -1, null emotions) meets an empty word put
-    into the lexicon, so an inner join drops unmatched tokens at once and still
-    keeps every document.
+    negated. Under a broadcast lexicon the empty row (position -1, null emotions)
+    meets an empty word put into it, so an inner join drops unmatched tokens at
+    once and still keeps every document. A larger lexicon is joined by shuffle;
+    there the empty rows, one per document, would share one key, so they are put
+    beside the join instead.
     """
     none = F.array(
         F.struct(
@@ -112,9 +120,16 @@ def matches(
     weight = F.when(F.col("intensified"), F.lit(float(intensifier_weight))).otherwise(1.0) * F.when(
         F.col("negated"), -1.0
     ).otherwise(1.0)
-    blank = lexicon.sparkSession.createDataFrame([("", None)], "word string, emotions array<string>")
-    table = lexicon.select("word", "emotions").unionByName(blank)
-    return rows.join(small(table), "word").withColumn("weight", weight)
+    table = lexicon.select("word", "emotions")
+    if fits(table):
+        blank = lexicon.sparkSession.createDataFrame([("", None)], "word string, emotions array<string>")
+        found = rows.join(F.broadcast(table.unionByName(blank)), "word")
+    else:
+        kept = marked.select(id_col, F.size("_t").alias("n_tokens"), F.inline(none)).withColumn(
+            "emotions", F.lit(None).cast("array<string>")
+        )
+        found = rows.where(F.col("pos") >= 0).join(table, "word").unionByName(kept)
+    return found.withColumn("weight", weight)
 
 
 def emotion_weights(

@@ -6,6 +6,10 @@ Scores are grouped first, so ties are one point, and running counts come from
 
 from __future__ import annotations
 
+from itertools import chain, groupby
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.functions.numeric import argmax, negative_log_likelihood, running_totals
@@ -209,21 +213,99 @@ POISSON_STEPS = [
 ]
 
 
-def bootstrap(df: DataFrame, id_col: str, label: str = "label", score: str = "score", n_boot: int = 1000, seed: int = 42) -> DataFrame:
+def poisson_weights(ids: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
+    """Poisson(1) weights (rows x replicates), drawn from a hash of id, replicate and seed."""
+    turns = np.arange(1, n_boot + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = ids.astype(np.int64).view(np.uint64)[:, None] + np.uint64(seed * 0xD1B54A32D192ED03 % 2**64) + turns[None, :]
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return np.searchsorted(POISSON_STEPS, (x >> np.uint64(11)) / 2.0**53, side="right").astype(np.int64)
+
+
+def _slices(batches, block: int):
+    """(part, ids, labels, scores) of batches that are sorted by part, in slices of one part and at most ``block`` rows."""
+    for batch in batches:
+        part, i, y, s = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "i", "y", "s"))
+        edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+        for start, end in zip(edges, [*edges[1:], len(part)]):
+            for at in range(start, end, block):
+                stop = min(at + block, end)
+                yield int(part[at]), i[at:stop], y[at:stop].astype(bool), s[at:stop]
+
+
+def bootstrap(
+    df: DataFrame, id_col: str, label: str = "label", score: str = "score", n_boot: int = 1000, seed: int = 42,
+    parts: int | None = None, block: int = 2000,
+) -> DataFrame:
     """AUC and average precision of every replicate.
 
-    A row enters a replicate with a Poisson(1) weight drawn from a hash of its
-    id, the usual way to resample rows that are spread over a cluster. Weights
-    are summed per score on the map side before anything is shuffled, and the
-    sums are written once for the passes after it.
+    NaN and null scores are left out. A row enters a replicate with a Poisson(1) weight drawn from a hash of its
+    id, the usual way to resample rows that are spread over a cluster. Rows are
+    cut into ranges of scores once; equal scores stay in one range. A first pass
+    sums each range's weights per replicate, which gives the positives and
+    negatives above every range; a second pass adds up each range's share of the
+    measures with these. Between the passes only ranges x replicates numbers move,
+    and the rows are never copied per replicate. A range is read in blocks.
     """
-    u = F.pmod(F.xxhash64(F.col(id_col), F.col("replicate"), F.lit(seed)), F.lit(2**53)) / float(2**53)
-    draws = (
-        df.select(id_col, label, score, F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("replicate"))
-        .withColumn("_u", u)
-        .withColumn("_w", F.aggregate(F.array(*map(F.lit, POISSON_STEPS)), F.lit(0), lambda n, p: n + F.when(F.col("_u") >= p, 1).otherwise(0)))
+    spark = df.sparkSession
+    ids = F.xxhash64(id_col).alias("i")
+    rows = df.select(ids, (F.col(label) == 1).alias("y"), F.col(score).cast("double").alias("s")).where(F.col("s").isNotNull() & ~F.isnan("s"))
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, F.desc("s")).sortWithinPartitions(F.desc("s"))
+    data = materialize(ranged.withColumn("part", F.spark_partition_id()), "bootstrap")
+    ordered = data.repartition(parts, "part").sortWithinPartitions("part", F.desc("s"))
+    schema = "part int, pos array<long>, neg array<long>"
+
+    def sums(batches):
+        for part, slices in groupby(_slices(batches, block), key=lambda x: x[0]):
+            pos, neg = np.zeros(n_boot, dtype=np.int64), np.zeros(n_boot, dtype=np.int64)
+            for _, i, y, _ in slices:
+                w = poisson_weights(i, n_boot, seed)
+                pos += w[y].sum(axis=0)
+                neg += w[~y].sum(axis=0)
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pos], kind), pa.array([neg], kind)], ["part", "pos", "neg"])
+
+    found = sorted(ordered.mapInArrow(sums, schema).collect())
+    if not found:
+        return spark.createDataFrame([], "replicate int, auc double, ap double")
+    above, tp, fp = {}, np.zeros(n_boot, dtype=np.int64), np.zeros(n_boot, dtype=np.int64)
+    for row in found:
+        above[row["part"]] = (tp, fp)
+        tp, fp = tp + np.array(row["pos"]), fp + np.array(row["neg"])
+    shared = spark.sparkContext.broadcast((above, tp, fp))
+
+    def shares(batches):
+        starts, n_pos, _ = shared.value
+        for part, slices in groupby(_slices(batches, block), key=lambda x: x[0]):
+            tp, fp = starts[part]
+            auc, ap = np.zeros(n_boot), np.zeros(n_boot)
+            score, pos, neg = None, 0, 0  # the score being summed up, which may go on in the next slice
+            tail = ((part, np.zeros(0, np.int64), np.zeros(0, bool), np.array([np.nan])),)
+            for _, i, y, s in chain(slices, tail):
+                w = poisson_weights(i, n_boot, seed)
+                edges = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+                for k, start in enumerate(edges):
+                    if s[start] != score:
+                        if score is not None:
+                            auc = auc + neg * (tp + pos / 2.0)
+                            tp, fp = tp + pos, fp + neg
+                            ap = ap + np.where(pos > 0, pos / np.maximum(n_pos, 1) * tp / np.maximum(tp + fp, 1), 0.0)
+                        score, pos, neg = s[start], 0, 0
+                    rows = slice(start, edges[k + 1] if k + 1 < len(edges) else len(i))
+                    pos = pos + w[rows][y[rows]].sum(axis=0)
+                    neg = neg + w[rows][~y[rows]].sum(axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(1, n_boot + 1, dtype=np.int32)), pa.array(auc), pa.array(ap)], ["replicate", "auc", "ap"]
+            )
+
+    parted = ordered.mapInArrow(shares, "replicate int, auc double, ap double")
+    pairs = (tp.astype(float) * fp).tolist()
+    totals = spark.createDataFrame([(r + 1, p) for r, p in enumerate(pairs)], "replicate int, pairs double")
+    return parted.groupBy("replicate").agg(F.sum("auc").alias("auc"), F.sum("ap").alias("ap")).join(totals, "replicate").select(
+        "replicate", (F.col("auc") / F.nullif("pairs", F.lit(0.0))).alias("auc"), "ap"
     )
-    return measure(draws.where(F.col("_w") > 0), label, score, ["replicate"], F.col("_w"))
 
 
 def bootstrap_ci(df: DataFrame, id_col: str, label: str = "label", score: str = "score", n_boot: int = 1000, seed: int = 42) -> DataFrame:

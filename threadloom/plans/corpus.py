@@ -18,13 +18,19 @@ def clean_comments(comments: DataFrame) -> DataFrame:
     )
 
 
-def clean_merge(posts: DataFrame, comments: DataFrame, k: int = 5, floor: int = 7) -> DataFrame:
+def clean_merge(
+    posts: DataFrame, comments: DataFrame, k: int = 5, floor: int = 7, more_comments: DataFrame | None = None
+) -> DataFrame:
     """One row per post with its best comments, short texts and copies dropped.
 
     Short posts go before anything is joined. Comments are reduced to one row
     per post on both sides of the joins; the posts are shuffled once by id, and
     once more by text digest. The composed texts repeat their parts, so they
     are put together behind that shuffle.
+
+    Posts that report comments but have none captured are filled from
+    ``more_comments``, cleaned comments of another source. In ``comments`` itself
+    there can be none for them, so nothing is looked up there again.
     """
     subs = clean_posts(posts, floor)
     coms = clean_comments(comments)
@@ -35,7 +41,8 @@ def clean_merge(posts: DataFrame, comments: DataFrame, k: int = 5, floor: int =
         compose_main(F.col("title_clean"), F.col("selftext_clean")), F.col("comments_concat")
     )
     unique = po.compose(merge.dedupe_first(merged, whole))
-    return merge.backfill(po.flag_missing(unique), coms, k)
+    flagged = po.flag_missing(unique)
+    return flagged if more_comments is None else merge.backfill(flagged, more_comments, k)
 
 
 def datasets(posts: DataFrame, comments: DataFrame) -> dict[str, DataFrame]:
