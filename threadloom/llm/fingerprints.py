@@ -12,7 +12,7 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 class WordHashes(dict):
     """64-bit hashes of words, kept while the worker lives; starts anew when full."""
 
-    def __init__(self, limit: int = 1 << 18):
+    def __init__(self, limit: int = 1 << 17):
         super().__init__()
         self.limit = limit
 

@@ -36,7 +36,7 @@ def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]
     return batch.column(at).cast(pa.binary()).to_pylist()
 
 
-def pieces_of(batch: pa.RecordBatch, most_bytes: int = 4 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+def pieces_of(batch: pa.RecordBatch, most_bytes: int = 2 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about this many text bytes at most; a longer text is a slice of its own.
 
     Keeps what a task holds at once independent of how long the texts are.

@@ -45,7 +45,7 @@ BROADCAST_ANCHORS = 4_000_000
 #: Documents with ranges to remove (a few numbers each) up to which these are broadcast; more are joined by a shuffle.
 BROADCAST_RANGES = 500_000
 #: Segments that a task holds to reduce copies before it hands them on.
-HELD = 200_000
+HELD = 100_000
 
 
 def anchored(texts: list[bytes | None], hashes: WordHashes, window: int, anchor: int):
