@@ -92,7 +92,7 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
         F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")
     )
     total = transactions.count()
-    support = min(1.0, max(min_support, min_pages / max(total, 1)))
+    support = min(1.0, max(min_support, (min_pages - 0.5) / max(total, 1)))  # a half less, as shares are rounded up
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(transactions)
     counts = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     rules = model.associationRules.where(F.col("consequent")[0] == BAD).select(
