@@ -35,9 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document with the smallest id of each group of near duplicates; of repeated rows one."""
     ship_package(spark)
     groups = ngram_join.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    copies = Window.partitionBy("doc_id", F.xxhash64(F.lower("text"))).orderBy("n_chars", "source", "lang")
+    own_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # null ids are one key; texts are shuffled by it once
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(own_id.alias("_id")).distinct()
+    kept = docs.select(*COLUMNS, own_id.alias("_id")).join(first, "_id", "left_semi")
+    copies = Window.partitionBy("_id", F.xxhash64(F.lower("text"))).orderBy("n_chars", "source", "lang")
     return kept.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") == 1).select(*COLUMNS)
 
 
