@@ -46,6 +46,8 @@ BROADCAST_ANCHORS = 4_000_000
 BROADCAST_RANGES = 500_000
 #: Segments that a task holds to reduce copies before it hands them on.
 HELD = 100_000
+#: Segments that are cut between two looks at what is held, however long a text is.
+STEP = 1 << 15
 
 
 def anchored(texts: list[bytes | None], hashes: WordHashes, window: int, anchor: int):
@@ -164,26 +166,28 @@ def cut_segments(docs: DataFrame, window: int, anchor: int, known=None) -> DataF
                 begin = np.concatenate((at[plain], windows))
                 size = np.concatenate((count[plain] + (window - 1), np.full(len(windows), window, dtype=np.int64)))
                 owner = np.concatenate((text[plain], np.repeat(text[split], count[split])))
-                names = np.empty(len(begin), dtype=np.int64)
-                spans = zip(begin.tolist(), (begin + size).tolist(), keys.tolist(), ids[owner].tolist())
-                for i, (start, stop, key, doc) in enumerate(spans):
-                    segment = b" ".join(words[start:stop])
-                    seen = held.get(segment)
-                    if seen is None:
-                        seen = held[segment] = [doc, doc, key, xxhash.xxh3_64_intdigest(segment, 1) - (1 << 63)]
-                    elif doc < seen[0]:
-                        seen[0] = doc
-                    elif doc > seen[1]:
-                        seen[1] = doc
-                    names[i] = seen[3]
-                n = len(begin)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(names), pa.array(ids[owner]), pa.array(text_ids[owner]),
-                     pa.array((begin - first[owner]).astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], NAMES
-                )
-                if len(held) >= HELD:
-                    yield distinct(held)
-                    held = {}
+                for low in range(0, len(begin), STEP):
+                    now = slice(low, low + STEP)
+                    n = len(begin[now])
+                    names = np.empty(n, dtype=np.int64)
+                    spans = zip(begin[now].tolist(), (begin[now] + size[now]).tolist(), keys[now].tolist(), ids[owner[now]].tolist())
+                    for i, (start, stop, key, doc) in enumerate(spans):
+                        segment = b" ".join(words[start:stop])
+                        seen = held.get(segment)
+                        if seen is None:
+                            seen = held[segment] = [doc, doc, key, xxhash.xxh3_64_intdigest(segment, 1) - (1 << 63)]
+                        elif doc < seen[0]:
+                            seen[0] = doc
+                        elif doc > seen[1]:
+                            seen[1] = doc
+                        names[i] = seen[3]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[now]), pa.array(names), pa.array(ids[owner[now]]), pa.array(text_ids[owner[now]]),
+                         pa.array((begin[now] - first[owner[now]]).astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], NAMES
+                    )
+                    if len(held) >= HELD:
+                        yield distinct(held)
+                        held = {}
         if held:
             yield distinct(held)
 
