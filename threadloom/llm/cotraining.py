@@ -103,15 +103,18 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_linear(rows: Rows, labels: np.ndarray, cells: int, steps: int = 120, rate: float = 0.5, decay: float = 1e-4) -> Linear:
-    """Logistic regression with both classes of equal weight; adaptive steps from zero."""
+    """Logistic regression with both classes of equal weight; adaptive steps from zero.
+
+    Steps of cells start small, so that a word of a single document can't take a large weight.
+    """
     share = np.clip(labels.mean(), 0.02, 0.98)
     weight = np.where(labels > 0.5, 0.5 / share, 0.5 / (1 - share)) / len(labels)
     model = Linear(np.zeros(cells), np.zeros(rows.dense.shape[1]))
-    seen_w, seen_d = np.full(cells, 1e-10), np.full(rows.dense.shape[1], 1e-10)
+    seen_w, seen_d = np.full(cells, 1e-6), np.full(rows.dense.shape[1], 1e-10)
     row_of = np.repeat(np.arange(len(labels)), np.diff(rows.starts))
     for _ in range(steps):
         off = (sigmoid(model.score(rows)) - labels) * weight
-        grad_w = np.bincount(rows.cells, weights=rows.values * off[row_of], minlength=cells) + decay * model.weights / cells
+        grad_w = np.bincount(rows.cells, weights=rows.values * off[row_of], minlength=cells) + decay * model.weights
         grad_d = off @ rows.dense
         seen_w += grad_w * grad_w
         seen_d += grad_d * grad_d
