@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import ngram_join, substring_dedup
+from threadloom.llm import fingerprint_join, ngram_join, substring_dedup
 from threadloom.llm.registry import query, table
 
 
@@ -43,3 +43,8 @@ def op9_ngram_join(spark, folder):
 @query("op2_substring_dedup", OP2_SQL)
 def op2_substring_dedup(spark, folder):
     return substring_dedup.digest_of_kept(table(spark, folder, "documents"))
+
+
+@query("op13_fingerprint_join")
+def op13_fingerprint_join(spark, folder):
+    return fingerprint_join.fingerprint_groups(table(spark, folder, "documents"))
