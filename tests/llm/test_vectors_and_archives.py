@@ -7,6 +7,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,8 +86,14 @@ def test_archives_round_trip(spark, tmp_path, file_bytes):
     got = warc.archive_pages(pages, f"file://{tmp_path}/w", file_bytes=file_bytes).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == plain_records()
     assert {r["html"] for r in got if r["record_type"] == "response"} == {h or "" for _, _, h in PAGES}
-    whole = sorted(Path(tmp_path, "w/monolithic").glob("*.gz"))
+    warc.write_monolithic(pages.select("page_id", "url", "html"), f"file://{tmp_path}/m", file_bytes)
+    whole = sorted(Path(tmp_path, "m").glob("*.gz"))
     parts = sorted(Path(tmp_path, "w/normalised").glob("*.warc.gz"))
+    assert not list(Path(tmp_path, "w/monolithic").glob("*.gz"))
+    for p in parts:
+        beside = pq.read_table(f"{p}{warc.INDEX_SUFFIX}").to_pylist()
+        assert [r["record_no"] for r in beside] == list(range(len(beside)))
+        assert all(gzip.decompress(p.read_bytes()[r["offset"] : r["offset"] + r["length"]]).startswith(b"WARC/1.1\r\n") for r in beside)
     assert sum(len(gzip.decompress(p.read_bytes())) for p in whole) == sum(len(gzip.decompress(p.read_bytes())) for p in parts)
     members = 0
     for p in parts:

@@ -435,7 +435,8 @@ def with_parents(nodes: DataFrame) -> DataFrame:
     known = nodes.where((F.col("kind") == "node") & F.col("node").isNotNull()).select(F.col("node").alias("parent"), F.col("conv_id").alias("found"))
     asked = nodes.where(F.col("parent").isNotNull()).select("block", "parent").distinct()
     answers = asked.join(known, "parent")
-    return nodes.join(answers, ["block", "parent"], "left").withColumn("parent_conv_id", F.coalesce("parent_conv_id", "found")).drop("found")
+    found = nodes.where(F.col("parent").isNotNull()).join(answers, ["block", "parent"])
+    return nodes.where(F.col("parent").isNull()).unionByName(found.withColumn("parent_conv_id", F.col("found")).select(*nodes.columns))
 
 
 def sums_below(trees: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pyarrow.fs as pafs
+import pyarrow.parquet as parquet
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.session import materialize, scratch_path
@@ -30,30 +32,37 @@ FILE_BYTES = 16 << 20
 CHUNK = 1 << 18
 #: Offsets are read in groups of this many records.
 READ_GROUP = 2000
+#: Payloads of more than one repeated row in so many have their response broadcast.
+SHARE = 1000
+#: What the offset table beside an archive is called, after the archive's own name.
+INDEX_SUFFIX = ".index.parquet"
 
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_URI = "urn:page:"
 
 
-def revisit_plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """Adds payload_bytes, payload_digest and refers_to (null for a response).
+def revisit_plan(pages: DataFrame, files: int, least: int = LEAST_REVISIT) -> DataFrame:
+    """Adds payload_bytes, payload_digest and refers_to (null for a response), in ``files`` parts.
 
     Of equal payloads the row with the largest page_id is the response; rows that
     repeat this page_id are responses too. Only digests are grouped, combined before
-    the shuffle.
+    the shuffle, and every payload is shuffled once: to its digest's group, or, for
+    payloads of more than one row in ``SHARE`` (so there are fewer than ``SHARE`` of
+    them, and their groups are broadcast), to any part.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     sized = pages.withColumn("payload_bytes", F.octet_length(payload).cast("long")).withColumn("payload_digest", F.sha1(payload))
-    copies = (
-        sized.where(F.col("payload_bytes") >= least)
-        .groupBy("payload_digest", "payload_bytes")
-        .agg(F.max("page_id").alias("latest"), F.count("*").alias("_n"))
-        .where(F.col("_n") > 1)
-        .drop("_n")
-    )
-    joined = sized.join(copies, ["payload_digest", "payload_bytes"], "left")
+    key = ["payload_digest", "payload_bytes"]
+    copies = sized.where(F.col("payload_bytes") >= least).groupBy(*key).agg(F.max("page_id").alias("latest"), F.count("*").alias("n"))
+    copies = materialize(copies.where(F.col("n") > 1), "copies")
+    often = F.col("n") > (copies.agg(F.sum("n").alias("n")).first()["n"] or 0) / SHARE
+    hot = F.broadcast(copies.where(often).select(*key, F.col("latest").alias("hot_latest"), F.lit(True).alias("hot")))
+    marked = sized.join(hot, key, "left")
+    spread = marked.where("hot").withColumnRenamed("hot_latest", "latest").drop("hot").repartition(files, F.xxhash64("page_id", "url"))
+    rest = marked.where(F.col("hot").isNull()).drop("hot", "hot_latest").repartition(files, *key)
+    joined = rest.join(copies.where(~often).drop("n").repartition(files, *key).hint("shuffle_hash"), key, "left")
     refers = F.when(F.col("page_id").eqNullSafe(F.col("latest")), None).otherwise(F.col("latest"))
-    return joined.withColumn("refers_to", refers).drop("latest")
+    return joined.unionByName(spread).withColumn("refers_to", refers).drop("latest")
 
 
 def header_safe(text: Column) -> Column:
@@ -89,13 +98,11 @@ def write_monolithic(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES
     """Write pages (page_id, url, html) as gzip files of many records, one stream each.
 
     The text sink ends every record with its last line break. The number of files
-    follows the payload bytes; rows are dealt out at random places, so files are even.
+    follows the payload bytes.
     """
-    plan = revisit_plan(pages)
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-int(total) // file_bytes))
-    dealt = plan.repartition(files, F.xxhash64("page_id", "payload_digest", "url"))
-    dealt.select(record_text().alias("value")).write.option("compression", "gzip").option("lineSep", "\r\n").text(folder)
+    plan = revisit_plan(pages, max(1, -(-int(total) // file_bytes)))
+    plan.select(record_text().alias("value")).write.option("compression", "gzip").option("lineSep", "\r\n").text(folder)
 
 
 class RecordCutter:
@@ -155,14 +162,18 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
+INDEX = "archive string, offset long, length long, record_no long"
+
+
 def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrite every file of ``source`` record by record into ``target``; gives the index.
 
-    Index columns: archive, offset, length, record_no. A task inflates one file as a stream;
-    it holds a chunk and a record, whatever the file's size.
+    Index columns: archive, offset, length, record_no; one table of them lies beside each
+    archive, named like it, and the returned frame reads these. A task inflates one file as a stream;
+    it holds a chunk, a record and the offsets. A source file is removed once its archive
+    and index have their names; a repeated task that finds none has nothing left to do.
     """
     files = sorted(f.getPath().toString() for f in hadoop_files(spark, source) if f.getPath().getName().endswith(".gz"))
-    schema = "archive string, offset long, length long, record_no long"
 
     def run(batches):
         for batch in batches:
@@ -171,25 +182,35 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                 out_fs, folder = opened(target)
                 out_fs.create_dir(folder, recursive=True)
                 name = place.rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".txt") + ".warc.gz"
+                done = out_fs.get_file_info(f"{folder}/{name}{INDEX_SUFFIX}").type == pafs.FileType.File
+                if done and fs.get_file_info(place).type == pafs.FileType.NotFound:
+                    continue
                 attempt = f"{folder}/.{name}.{uuid.uuid4().hex}"
-                rows, at = [], 0
+                lengths = []
                 with fs.open_input_stream(place, compression=None) as stream, out_fs.open_output_stream(attempt, compression=None) as out:
-                    for number, record in enumerate(records_of(stream)):
+                    for record in records_of(stream):
                         packed = member(record)
                         out.write(packed)
-                        rows.append((at, len(packed), number))
-                        at += len(packed)
+                        lengths.append(len(packed))
+                with out_fs.open_output_stream(f"{attempt}.index", compression=None) as out:
+                    parquet.write_table(offset_table(f"{target.rstrip('/')}/{name}", lengths), out)
                 out_fs.move(attempt, f"{folder}/{name}")
-                if rows:
-                    offsets, lengths, numbers = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{target.rstrip('/')}/{name}"] * len(rows)), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()),
-                         pa.array(numbers, pa.int64())],
-                        ["archive", "offset", "length", "record_no"],
-                    )
+                out_fs.move(f"{attempt}.index", f"{folder}/{name}{INDEX_SUFFIX}")
+                fs.delete_file(place)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
 
     listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, len(files)))
-    return materialize(listed.mapInArrow(run, schema), "warc-index")
+    listed.mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+    if not files:
+        return spark.createDataFrame([], INDEX)
+    return spark.read.schema(INDEX).option("pathGlobFilter", f"*{INDEX_SUFFIX}").parquet(target)
+
+
+def offset_table(archive: str, lengths: list[int]) -> pa.Table:
+    sizes = pa.array(lengths, pa.int64())
+    offsets = pa.compute.subtract(pa.compute.cumulative_sum(sizes), sizes)
+    numbers = pa.array(range(len(lengths)), pa.int64())
+    return pa.table({"archive": pa.array([archive] * len(lengths), pa.string()), "offset": offsets, "length": sizes, "record_no": numbers})
 
 
 def hadoop_files(spark: SparkSession, folder: str):
@@ -239,7 +260,8 @@ def read_records(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "html"])
 
     group = F.floor(F.col("record_no") / READ_GROUP)
-    dealt = index.repartition("archive", group).sortWithinPartitions("archive", "offset")
+    parts = max(1, -(-index.count() // READ_GROUP))
+    dealt = index.repartition(parts, "archive", group).sortWithinPartitions("archive", "offset")
     return dealt.select("archive", "offset", "length").mapInArrow(run, READ)
 
 
