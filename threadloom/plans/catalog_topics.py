@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threadloom import reference_tables as ref
 from threadloom.config import NmfConfig, VocabConfig
 from threadloom.functions import tokens as tk
-from threadloom.operators import features as feat, merge, models, profile, topics as tp
+from threadloom.operators import density, features as feat, merge, models, profile, topics as tp
 from threadloom.plans.catalog_tokens import in_list, size
 from threadloom.plans.registry import query
 from threadloom.plans.tables import with_ctes
@@ -412,3 +412,9 @@ def embed_cluster(t):
     return r6(out.select("vec_id", "label", "topic", "distance", "prob"), "distance", "prob")
 
 
+
+
+@query("density_clusters")
+def density_clusters(t):
+    reduced = density.principal(t.read("embeddings"), "embedding", 5)
+    return r6(density.cluster_density(reduced, "vec_id", "embedding", 15), "prob")
