@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from threadloom.functions.text import text_length, text_or_empty, word_count
+from threadloom.session import materialize
 
 
 def _count() -> Column:
@@ -84,6 +85,52 @@ def length_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+#: Buckets a value range is cut into per pass, and targets that are broadcast.
+BUCKETS = 64
+FEW_TARGETS = 100_000
+
+
+def exact_quantiles(per_value: DataFrame, group: str, value: str, probs: list[float], n: str = "_n") -> DataFrame:
+    """Sizes and exact quantiles of each group: the group, n, _q (interpolated between neighbours).
+
+    ``per_value`` has one row per group and value with its count. All groups and
+    quantiles are narrowed down at once: each pass counts the values between a target's
+    bounds by bucket and goes on in the bucket that holds the wanted rank, until that
+    holds one value. A task keeps bucket counts only, however large a group is. Null
+    and NaN values do not count; a null group is a group.
+    """
+    v = F.col(value).cast("double")
+    values = materialize(
+        per_value.where(v.isNotNull() & ~F.isnan(v)).select(F.col(group).alias("g"), v.alias("v"), F.col(n).cast("long").alias("c")), "values"
+    )
+    sizes = materialize(values.groupBy("g").agg(F.sum("c").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "sizes")
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("n") - 1)).alias("at")) for i, p in enumerate(probs)])
+    aims = sizes.select("g", "lo", "hi", "n", F.explode(wanted).alias("w")).select("g", "lo", "hi", "n", "w.i", "w.at")
+    ranks = aims.select("g", "lo", "hi", F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("rank")).distinct()
+    targets = materialize(ranks.withColumn("before", F.lit(0).cast("long")), "targets")
+    done = targets.where(F.col("lo") == F.col("hi"))
+    targets = targets.where(F.col("lo") < F.col("hi"))
+    up_to = W.partitionBy("g", "rank").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
+    while (left := targets.limit(FEW_TARGETS + 1).count()) > 0:
+        asked = F.broadcast(targets) if left <= FEW_TARGETS else targets
+        inside = values.withColumnRenamed("g", "vg").join(asked, F.col("vg").eqNullSafe(F.col("g")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")
+        counts = inside.groupBy("g", "rank", "before", bucket).agg(F.sum("c").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        reached = counts.withColumn("to", F.col("before") + F.sum("c").over(up_to))
+        hit = reached.where((F.col("to") > F.col("rank")) & (F.col("to") - F.col("c") <= F.col("rank")))
+        found = materialize(hit.select("g", "lo", "hi", "rank", (F.col("to") - F.col("c")).alias("before")), "targets")
+        done = done.unionByName(found.where(F.col("lo") == F.col("hi")))
+        targets = found.where(F.col("lo") < F.col("hi"))
+    at = done.select(F.col("g").alias("dg"), F.col("rank"), F.col("lo").alias("x"))
+    for side, rank in (("below", F.floor("at")), ("above", F.ceil("at"))):
+        one = at.select(F.col("dg").alias(f"{side}_g"), F.col("rank").alias(f"{side}_rank"), F.col("x").alias(side))
+        aims = aims.join(one, F.col("g").eqNullSafe(F.col(f"{side}_g")) & (rank == F.col(f"{side}_rank")))
+    part = F.col("at") - F.floor("at")
+    x = F.when(F.col("below") == F.col("above"), F.col("below")).otherwise(F.col("below") * (1 - part) + F.col("above") * part)
+    return aims.groupBy(F.col("g").alias(group), "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", x.alias("x")))), lambda s: s["x"]).alias("_q"))
+
+
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles per group and the whiskers a box plot draws.
 
@@ -91,10 +138,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     Values are counted first; everything after works on distinct values.
     """
     per_value = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(_count().alias("_n"))
-    quart = per_value.groupBy(group).agg(
-        F.sum("_n").alias("n"),
-        F.expr(f"percentile({value}, array(0.0, 0.25, 0.5, 0.75, 1.0), _n)").alias("_q"),
-    )
+    quart = materialize(exact_quantiles(per_value, group, value, [0.0, 0.25, 0.5, 0.75, 1.0]), "quartiles")
     reach = (F.col("_q")[3] - F.col("_q")[1]) * 1.5
     inside = F.col(value).between(F.col("_q")[1] - reach, F.col("_q")[3] + reach)
     ends = (

@@ -1,13 +1,13 @@
 """Stratified samples, splits and folds by seeded hash order.
 
-Every rank inside a stratum comes from ``ranked_by_hash``, so a stratum with
+Ranks of whole strata come from ``ranked_by_hash``, so a stratum with
 half of all rows is still spread over all tasks, and a retried task draws the
-same rows.
+same rows. A budgeted sample keeps the first rows of each task only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions.numeric import half_even, ranked_by_hash
 
@@ -26,14 +26,20 @@ def quotas(df: DataFrame, group: str, budget: int, floor: int) -> DataFrame:
 
 
 def quota_sample(df: DataFrame, id_col: str, group: str, budget: int, floor: int, seed: int = 42) -> DataFrame:
-    """Draw each group's quota in hash order."""
+    """Draw each group's quota in hash order.
+
+    No quota exceeds the budget (or the floor), so every task keeps that many rows of a
+    group at most before the shuffle, and no group is ranked as a whole.
+    """
     if df.isEmpty():
         raise ValueError("no data to sample from")
+    key = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
+    first = Window.partitionBy(group).orderBy("_key", id_col)
+    least = df.withColumn("_key", key).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= max(budget, floor))
     return (
-        ranked_by_hash(df, [group], id_col, seed, "_rank")
-        .join(quotas(df, group, budget, floor).select(group, "quota"), group)
+        least.join(quotas(df, group, budget, floor).select(group, "quota"), group)
         .where(F.col("_rank") <= F.col("quota"))
-        .drop("_rank", "_rank_of", "quota")
+        .drop("_key", "_rank", "quota")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.functions import numeric as num
-from threadloom.operators import evaluate as ev, features as feat, labels as lb, merge, sampling as sp
+from threadloom.operators import calibration, evaluate as ev, features as feat, labels as lb, merge, sampling as sp
 from threadloom.plans.catalog_tokens import sql_simple
 from threadloom.plans.registry import query
 from threadloom.plans.tables import AI, HAND, POSTS, SCORED, with_ctes
@@ -536,3 +536,17 @@ def meta_features(t):
     docs = t.read("documents").select("doc_id", F.col("text").alias("text_all"))
     out = feat.meta_features(docs, "text_all")
     return rounded(out.select("doc_id", "doc_len", "has_url", "emotion_score"), "doc_len")
+
+
+@query(
+    "isotonic_fit",
+    """WITH p AS (SELECT n_chars AS x, sum(quality) AS total, count(*) AS w FROM documents JOIN labels USING (doc_id) GROUP BY n_chars),
+    c AS (SELECT *, row_number() OVER (ORDER BY x) AS i, sum(total) OVER (ORDER BY x) AS cy, sum(w) OVER (ORDER BY x) AS cw FROM p),
+    pair AS (SELECT a.i AS a, b.i AS b, (b.cy - a.cy + a.total)::DOUBLE / (b.cw - a.cw + a.w) AS m FROM c a JOIN c b ON a.i <= b.i),
+    low AS (SELECT a, b AS i, min(m) OVER (PARTITION BY a ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS m FROM pair)
+    SELECT x::DOUBLE AS score, w AS weight, round(max(m), 6) AS calibrated FROM low JOIN c USING (i) GROUP BY x, w""",
+)
+def isotonic_fit(t):
+    """The rising step function of quality over text length; the twin is the max-min formula."""
+    rows = t.read("documents").join(t.read("labels"), "doc_id")
+    return calibration.isotonic_fit(rows, "n_chars", "quality").withColumn("calibrated", F.round("calibrated", 6))
