@@ -116,3 +116,15 @@ def test_a_cut_stream_is_an_error():
 def test_no_pages(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive_pages(none, f"file://{tmp_path}/w").count() == 0
+
+
+def test_ties_beyond_the_breadth_go_to_the_smaller_ids(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [0.5, ((i * 7919) % 400) / 400]) for i in range(1, 400)]
+    got = hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), lambda v: v == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1, 21)) and {r["score"] for r in got} == {0.5}
+
+
+def test_scores_of_double_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1 / 3, 1.0]), (2, [-1e300, 0.0]), (3, [1e-300, 5.0])]
+    got = hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda v: v == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 1 / 3), (3, 1e-300), (2, -1e300)]

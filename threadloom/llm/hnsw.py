@@ -218,14 +218,15 @@ def build_shards(nodes: DataFrame) -> DataFrame:
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place")
-        vectors = np.stack(rows["vector"].to_numpy()).astype(np.float32)
+        exact = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+        vectors = scaled(exact, np.abs(exact).max())
         lengths = np.einsum("id,id->i", vectors, vectors, dtype=np.float64)
         level = np.sqrt(np.maximum(lengths.max() - lengths, 0)).astype(np.float32)
         graph = Graph.build(np.ascontiguousarray(np.concatenate((vectors, level[:, None]), axis=1)))
         counts = rows["ids"].map(len).to_numpy(dtype=np.int32)
         return pd.DataFrame({
             "shard": [key[0]], "dims": [key[1]],
-            "vectors": [vectors.tobytes()], "level": [level.tobytes()],
+            "vectors": [exact.tobytes()], "level": [level.tobytes()],
             "ids": [np.concatenate([np.asarray(i, dtype=np.int64) for i in rows["ids"]]).tobytes()], "counts": [counts.tobytes()],
             "links": [[level_links.tobytes() for level_links in graph.levels]],
         })
@@ -234,28 +235,48 @@ def build_shards(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("shard", "dims").applyInPandas(run, schema)
 
 
+def scaled(vectors: np.ndarray, most) -> np.ndarray:
+    """Single-precision vectors for walking the graph; a common factor leaves the order of products as it is."""
+    return np.ascontiguousarray((vectors / most).astype(np.float32))
+
+
+def with_ties(vectors: np.ndarray, asked: np.ndarray, found: np.ndarray, k: int, breadth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places that may be among the ``k`` best besides the query's own, and their scores, ties at the end included.
+
+    If all that a walk saw last has one score, there may be more of it than the walk's
+    breadth: then the whole shard is compared with this query.
+    """
+    score = (vectors[found] * asked).sum(axis=1)
+    if len(found) <= k:
+        return found, score
+    least = -np.partition(-score, k)[k]
+    if len(found) >= breadth and score.min() >= least:
+        found = np.arange(len(vectors))
+        score = (vectors * asked).sum(axis=1)
+    near = score >= least
+    return found[near], score[near]
+
+
 def answer(graphs: pd.DataFrame, queries: pd.DataFrame, k: int, breadth: int) -> pd.DataFrame:
     """The ``k`` best rows of one shard for each of a block of queries."""
     out = {"query_id": [], "query_hash": [], "vec_id": [], "score": []}
     if len(graphs) and len(queries):
         row = graphs.iloc[0]
-        vectors = np.frombuffer(row["vectors"], dtype=np.float32).reshape(-1, row["dims"])
+        vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(-1, row["dims"])
         level = np.frombuffer(row["level"], dtype=np.float32)
         ids, counts = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["counts"], dtype=np.int32)
         first = np.concatenate(([0], np.cumsum(counts)))
         widths = [GROUND_LINKS] + [LINKS] * (len(row["links"]) - 1)
         levels = [np.frombuffer(b, dtype=np.int32).reshape(-1, w) for b, w in zip(row["links"], widths)]
-        graph = Graph(np.ascontiguousarray(np.concatenate((vectors, level[:, None]), axis=1)), levels)
-        asked = np.stack(queries["vector"].to_numpy()).astype(np.float32)
-        padded = np.concatenate((asked, np.zeros((len(asked), 1), dtype=np.float32)), axis=1)
+        graph = Graph(np.ascontiguousarray(np.concatenate((scaled(vectors, np.abs(vectors).max()), level[:, None]), axis=1)), levels)
+        asked = np.stack(queries["vector"].to_numpy()).astype(np.float64)
+        padded = np.concatenate((scaled(asked, np.abs(asked).max(axis=1, keepdims=True)), np.zeros((len(asked), 1), dtype=np.float32)), axis=1)
         for at in range(0, len(asked), BATCH):
             places, _ = graph.search(padded[at : at + BATCH], breadth)
             for i, row_places in enumerate(places):
                 own = int(queries["query_id"].iloc[at + i])
-                found = row_places[row_places >= 0]
-                score = (vectors[found].astype(np.float64) * asked[at + i].astype(np.float64)).sum(axis=1)
-                best = np.argsort(-score, kind="stable")[: k + 1]
-                rows = [(-s, v, s) for p, s in zip(found[best], score[best]) for v in ids[first[p] : first[p + 1]] if v != own]
+                found, score = with_ties(vectors, asked[at + i], row_places[row_places >= 0], k, breadth)
+                rows = [(-s, v, s) for p, s in zip(found, score) for v in ids[first[p] : first[p + 1]] if v != own]
                 rows.sort()
                 for _, v, s in rows[:k]:
                     out["query_id"].append(own)
@@ -270,13 +291,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, breadth: int = BREADTH, s
     """The ``k`` nearest rows found for every row that ``is_query`` (a column of the id) picks.
 
     Columns: query_id, rank from 1, vec_id, score; nearest first, ties to the smaller
-    id. A row is never found for its own id. Vectors that are null, empty, zero or not
+    id, however many rows tie. Scores are sums in double precision over the original vectors. A row is never found for its own id. Vectors that are null, empty, zero or not
     finite, and rows without an id, take no part. Vectors meet those of their own
     number of dimensions only. Repeated rows are found as often as they occur, but a
     repeated query is answered once. Fewer candidates than ``k`` give fewer rows, an
     empty table none. Other columns are not read.
     """
-    picked = usable(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector")))
+    picked = usable(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")))
     by_vector = Window.partitionBy("vector").orderBy("id")
     nodes = materialize(
         picked.withColumn("_r", F.row_number().over(by_vector)).where(F.col("_r") <= k + 1)
