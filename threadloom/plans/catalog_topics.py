@@ -70,22 +70,22 @@ def ngrams(t):
 
 
 VOCAB_STOPS = ["the", "and", "of"]
-SMALL_VOCAB = VocabConfig(min_df=5, max_df=0.4, max_features=1500)
+TOPIC_VOCAB = VocabConfig()
 TERMS = f"""kept AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS pos FROM flat WHERE term NOT IN {in_list(VOCAB_STOPS)}),
 grams AS (SELECT doc_id, term FROM kept UNION ALL SELECT doc_id, term || ' ' || nxt FROM (SELECT doc_id, term, lead(term) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM kept) WHERE nxt IS NOT NULL),
 dt AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term),
 vocab AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS term_id, ln((1 + nd) / (1.0::DOUBLE + df)) + 1 AS idf FROM
   (SELECT term, count(*) AS df, sum(tf) AS tf, (SELECT count(*) FROM documents) AS nd FROM dt GROUP BY term
-   HAVING count(*) >= 5 AND count(*) <= 0.4::DOUBLE * (SELECT count(*) FROM documents) ORDER BY sum(tf) DESC, term LIMIT 1500))"""
+   HAVING count(*) >= 12 AND count(*) <= 0.4::DOUBLE * (SELECT count(*) FROM documents) ORDER BY sum(tf) DESC, term LIMIT 10000))"""
 
 
 def _terms(t):
-    return feat.model_terms(docs(t), "doc_id", "toks", VOCAB_STOPS, SMALL_VOCAB)
+    return feat.model_terms(docs(t), "doc_id", "toks", VOCAB_STOPS, TOPIC_VOCAB)
 
 
 def _vocab(t, terms):
     n = t.texts().agg(F.count(F.lit(1)).alias("n")).scalar()
-    return feat.fit_vocab(terms, n, SMALL_VOCAB)
+    return feat.fit_vocab(terms, n, TOPIC_VOCAB)
 
 
 @query("vocabulary", with_ctes(DOCS, FLAT, TERMS, "SELECT term, df, CAST(tf AS BIGINT) AS tf, CAST(term_id AS INTEGER) AS term_id, round(idf, 6) AS idf FROM vocab"))
@@ -382,12 +382,12 @@ def topic_crosstab(t):
 
 # --- fitted models, rows only ------------------------------------------------
 
-SMALL_NMF = NmfConfig(k=6, max_iter=12, inner_steps=8)
+TOPIC_NMF = NmfConfig()  # the stopping tolerance decides the passes
 
 
 def fitted(t):
     base = materialize(docs(t).select("doc_id", "source", "toks"), "tokens")
-    return base, models.fit_topics(base, "doc_id", "toks", VOCAB_STOPS, SMALL_VOCAB, SMALL_NMF)
+    return base, models.fit_topics(base, "doc_id", "toks", VOCAB_STOPS, TOPIC_VOCAB, TOPIC_NMF)
 
 
 @query("nmf_topics")
@@ -401,7 +401,7 @@ def nmf_topics(t):
 def nmf_assignment(t):
     """Each document's topic under the fitted model."""
     base, model = fitted(t)
-    vectors = models.document_vectors(base, "doc_id", "toks", model, SMALL_VOCAB, SMALL_NMF, VOCAB_STOPS)
+    vectors = models.document_vectors(base, "doc_id", "toks", model, TOPIC_VOCAB, TOPIC_NMF, VOCAB_STOPS)
     assigned = tp.assign_topics(vectors.select("doc_id", "topics"), model.names)
     return r6(assigned.select("doc_id", "topic", "conf", "topic_name"), "conf")
 
