@@ -32,17 +32,55 @@ def test_each_view_learns_from_the_other():
     np = cotraining.np
     rnd = np.random.default_rng(1)
     truth = rnd.integers(0, 2, 600).astype(float)
-    shown = np.where(np.arange(600) < 120, truth, np.nan)
     words = [np.array([int(t) if i < 120 or i % 2 else int(t) + 2, 9]) for i, t in enumerate(truth)]
     starts = np.arange(601) * 2
     content = cotraining.Rows(starts, np.concatenate(words), np.ones(1200), np.zeros((600, 1)))
     meta = cotraining.Rows(np.arange(601), truth.astype(int), np.ones(600), np.zeros((600, 1)))
-    model = cotraining.co_train(content, meta, shown)
+    shown, free = np.arange(120), np.arange(120, 600)
+    pool = cotraining.LocalPool(content.pick(free), meta.pick(free), free % cotraining.STRATA)
+    model = cotraining.co_train(content.pick(shown), meta.pick(shown), truth[shown], pool)
     assert model.content.weights[3] > model.content.weights[2]
-    alone = cotraining.co_train(content, meta, shown, rounds=0)
+    alone = cotraining.co_train(content.pick(shown), meta.pick(shown), truth[shown], pool, rounds=0)
     assert alone.content.weights[3] == alone.content.weights[2]
 
 
+def test_the_surest_share_by_class():
+    np = cotraining.np
+    rnd = np.random.default_rng(3)
+    scores = np.concatenate((rnd.normal(0, 6, 5000), [100.0, -100.0], np.full(300, 7.0)))
+    bins = cotraining.bins_of(scores)
+    for share, good_share in ((0.05, 0.5), (0.2, 0.9), (1.0, 0.5), (0.0, 0.5)):
+        found = cotraining.surest(np.bincount(bins, minlength=cotraining.BINS), share, good_share)
+        want = max(1, share * len(scores) * good_share)
+        sure = [b for b in sorted(set(bins.tolist()), reverse=True) if (bins >= b).sum() >= want][0]
+        assert (bins >= found.good).sum() == (bins >= max(sure, cotraining.bins_of(np.array([np.log(9)]))[0])).sum()
+        assert not ((bins >= found.good) & (bins <= found.bad)).any()
+
+
+def test_all_unlabelled_documents_take_part_in_any_order(spark, labelled):
+    """Counts and sums of tasks equal plain ones over all rows; the model depends on neither order nor partitions."""
+    np = cotraining.np
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.unionByName(docs.limit(5).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit("")}))
+    table = cotraining.features(docs.withColumn("good", F.lit(None).cast("double")).select("doc_id", "good", "lang", "source", "n_chars", "text"))
+    packed = table.toArrow().combine_chunks().to_batches()[0]
+    content, meta, strata = cotraining.unpacked(packed)
+    rnd = np.random.default_rng(5)
+    views = {"content": cotraining.Linear(rnd.normal(0, 60, cotraining.WORD_CELLS), rnd.normal(0, 1, cotraining.RATIOS)),
+             "meta": cotraining.Linear(rnd.normal(0, 2, cotraining.META_CELLS), np.zeros(1))}
+    local, spread = cotraining.LocalPool(content, meta, strata), cotraining.SparkPool(table.repartition(7))
+    counts = spread.histograms(views)
+    assert all((counts[v] == local.histograms(views)[v]).all() and counts[v].sum() == docs.count() for v in views)
+    bounds = {v: cotraining.surest(counts[v], 0.3, 0.6) for v in views}
+    want, got = local.taught(views, bounds), spread.taught(views, bounds)
+    assert want.keys() == got.keys() and all((want[k] == got[k]).all() for k in want)
+    taught = sum(total[-1] for (view, label, _), total in got.items() if view == "content" and label == 1)
+    assert taught == (cotraining.bins_of(views["meta"].score(meta)) >= bounds["meta"].good).sum()
+    first, second = cotraining.fit(docs, labelled), cotraining.fit(docs.repartition(5).orderBy("text"), labelled)
+    assert (first.content.weights == second.content.weights).all() and (first.meta.weights == second.meta.weights).all()
+    assert first.threshold == second.threshold
+
+
 def test_odd_rows_and_no_labels(spark, labelled):
     rows = [(1, None, None, None, None), (None, "text", "en", "s", 4), (2, "", "en", None, 0), (3, "x " * 50000, "fr", "s", None), (3, "x", "fr", "s", -5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({"good": F.lit("clash"), "kept": F.lit(0)})

@@ -2,13 +2,17 @@
 
 Two views see the same document: its words (relative frequencies of hashed words and
 a few ratios) and its metadata (language, source, size and layout). Each view has a
-logistic model. In every round each model labels the part of an unlabelled pool that
-it is surest of, for the other one to learn from. In the end both are calibrated on
-labelled documents that took no part in the training, and the calibrated views are
-combined by a small logistic model.
-
-Only the fit uses samples, of stated size, drawn in the order of a hash of the id;
-every document is scored, from its whole text.
+logistic model. In every round each model scores all unlabelled documents and labels
+those that it is surest of, for the other one to learn from. In the end both are
+calibrated on labelled documents that took no part in the training, and the calibrated
+views are combined by a small logistic model.
+
+Only the labelled documents of the fit are a sample, of stated size, drawn in the order
+of a hash of the id. The unlabelled ones all take part: tasks count their scores in bins,
+the bounds of the surest share of each class are read from the counts, and tasks add up
+the features of the documents beyond the bounds, per class and stratum (languages and
+sources by a hash). What a view learns from are the labelled rows and these means. Counts
+and sums are integers, so neither the order of rows nor their partitions changes the model.
 """
 
 from __future__ import annotations
@@ -21,16 +25,27 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from threadloom.llm.shared import pieces_of, raw_texts
+from threadloom.session import materialize
 
-#: Labelled and unlabelled documents that the fit may use, at most.
+#: Labelled documents that the fit may use, at most.
 LABELLED = 4000
-POOL = 4000
-#: Cells of hashed words and of metadata; rounds; share of the pool that a view labels a round; least surety.
+#: Cells of hashed words and of metadata; rounds; share of the unlabelled documents that a view labels more in each round; least surety.
 WORD_CELLS = 1 << 14
 META_CELLS = 1 << 11
 ROUNDS = 4
 SHARE = 0.05
 SURE = 0.9
+#: What the documents a view was taught weigh together, beside the labelled ones, after the first round and per round.
+TRUST = 0.07
+#: Strata of documents whose features are added up apart; parts of a sum that travel together; salts of the first merge.
+STRATA = 4
+BLOCK = 1 << 11
+SALTS = 256
+#: Scores (log-odds) are counted in bins of this width between -EDGE and EDGE.
+BIN = 1 / 64
+EDGE = 40
+#: Features are added up as whole numbers of this unit.
+UNIT = 1 << 20
 #: Share of labelled documents for calibration, and of good ones there that must be kept.
 HELD_OUT = 0.3
 KEEP_GOOD = 0.995
@@ -94,21 +109,23 @@ class Linear:
     dense: np.ndarray
 
     def score(self, rows: Rows) -> np.ndarray:
-        parts = np.concatenate(([0.0], np.cumsum(rows.values * self.weights[rows.cells])))
-        return parts[rows.starts[1:]] - parts[rows.starts[:-1]] + rows.dense @ self.dense
+        n = len(rows.starts) - 1
+        row_of = np.repeat(np.arange(n), np.diff(rows.starts))
+        return np.bincount(row_of, weights=rows.values * self.weights[rows.cells], minlength=n) + (rows.dense * self.dense).sum(axis=1)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_linear(rows: Rows, labels: np.ndarray, cells: int, steps: int = 120, rate: float = 0.5, decay: float = 1e-4) -> Linear:
-    """Logistic regression with both classes of equal weight; adaptive steps from zero.
+def fit_linear(rows: Rows, labels: np.ndarray, mass: np.ndarray, cells: int, steps: int = 120, rate: float = 0.5, decay: float = 1e-4) -> Linear:
+    """Logistic regression on rows of a given mass, both classes of equal weight; adaptive steps from zero.
 
     Steps of cells start small, so that a word of a single document can't take a large weight.
     """
-    share = np.clip(labels.mean(), 0.02, 0.98)
-    weight = np.where(labels > 0.5, 0.5 / share, 0.5 / (1 - share)) / len(labels)
+    total = mass.sum()
+    share = np.clip((labels * mass).sum() / total, 0.02, 0.98)
+    weight = np.where(labels > 0.5, 0.5 / share, 0.5 / (1 - share)) * mass / total
     model = Linear(np.zeros(cells), np.zeros(rows.dense.shape[1]))
     seen_w, seen_d = np.full(cells, 1e-6), np.full(rows.dense.shape[1], 1e-10)
     row_of = np.repeat(np.arange(len(labels)), np.diff(rows.starts))
@@ -150,40 +167,183 @@ def calibrated(scale: np.ndarray, scores: np.ndarray) -> np.ndarray:
     return np.clip(scale[0] * scores + scale[1], -12, 12)
 
 
-def co_train(content: Rows, meta: Rows, labels: np.ndarray, rounds: int = ROUNDS) -> Model | None:
-    """Fit both views; ``labels`` is NaN for the pool. None without labels of both kinds."""
-    known = np.flatnonzero(~np.isnan(labels))
-    if len(known) < 20 or len(np.unique(labels[known])) < 2:
+@dataclass
+class Bounds:
+    """Bins of scores: from ``good`` upwards a view is sure of good documents, up to ``bad`` of bad ones."""
+
+    good: int
+    bad: int
+
+
+BINS = int(2 * EDGE / BIN)
+
+
+def bins_of(scores: np.ndarray) -> np.ndarray:
+    return np.floor((np.clip(scores, -EDGE, EDGE - BIN) + EDGE) / BIN).astype(np.int64)
+
+
+def surest(counts: np.ndarray, share: float, good_share: float) -> Bounds:
+    """The bins that hold the surest ``share`` of all counted documents, by class; the last bin is taken whole."""
+    total = counts.sum()
+    sure = np.log(SURE / (1 - SURE))
+    from_top, from_bottom = np.cumsum(counts[::-1])[::-1], np.cumsum(counts)
+    want_good, want_bad = max(1.0, share * total * good_share), max(1.0, share * total * (1 - good_share))
+    good = max(int(np.flatnonzero(from_top >= want_good).max(initial=0)), int(bins_of(np.array([sure]))[0]))
+    bad = min(int(np.flatnonzero(from_bottom >= want_bad).min(initial=BINS - 1)), int(bins_of(np.array([-sure]))[0]))
+    return Bounds(good, bad)
+
+
+def part_rows() -> list[tuple[str, int, int]]:
+    """(view, class, stratum) of each sum, in a fixed order."""
+    return [(view, label, stratum) for view in ("content", "meta") for label in (0, 1) for stratum in range(STRATA)]
+
+
+def width_of(view: str) -> int:
+    """Cells, dense columns and the count of documents, rounded up to whole blocks."""
+    cells = WORD_CELLS if view == "content" else META_CELLS
+    return -(-(cells + RATIOS + 1) // BLOCK) * BLOCK
+
+
+def taught_sums(content: Rows, meta: Rows, strata: np.ndarray, views: dict, bounds: dict) -> dict[tuple[str, int, int], np.ndarray]:
+    """Sums of whole numbers over the documents that each view teaches the other one."""
+    sums = {}
+    for teacher, pupil, seen, learnt in (("meta", "content", meta, content), ("content", "meta", content, meta)):
+        bins = bins_of(views[teacher].score(seen))
+        cells = WORD_CELLS if pupil == "content" else META_CELLS
+        for label, chosen in ((1, bins >= bounds[teacher].good), (0, bins <= bounds[teacher].bad)):
+            for stratum in range(STRATA):
+                rows = np.flatnonzero(chosen & (strata == stratum))
+                if not len(rows):
+                    continue
+                part = learnt.pick(rows)
+                total = np.zeros(width_of(pupil), dtype=np.int64)
+                total[:cells] = np.bincount(part.cells, weights=np.rint(part.values * UNIT), minlength=cells).astype(np.int64)
+                total[cells : cells + part.dense.shape[1]] = np.rint(part.dense * UNIT).astype(np.int64).sum(axis=0)
+                total[-1] = len(rows)
+                sums[pupil, label, stratum] = total
+    return sums
+
+
+class LocalPool:
+    """Unlabelled documents in memory: what tasks do, at once; for tests and for small data."""
+
+    def __init__(self, content: Rows, meta: Rows, strata: np.ndarray):
+        self.content, self.meta, self.strata = content, meta, strata
+
+    def histograms(self, views: dict) -> dict[str, np.ndarray]:
+        rows = {"content": self.content, "meta": self.meta}
+        return {name: np.bincount(bins_of(view.score(rows[name])), minlength=BINS) for name, view in views.items()}
+
+    def taught(self, views: dict, bounds: dict) -> dict[tuple[str, int, int], np.ndarray]:
+        return taught_sums(self.content, self.meta, self.strata, views, bounds)
+
+
+class SparkPool:
+    """Unlabelled documents as a table of features; every pass is one job, and what it returns has a fixed size."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table.where(F.col("good").isNull()).select("cells", "counts", "n_words", "dense", "meta", "stratum")
+        self.sc = table.sparkSession.sparkContext
+
+    def histograms(self, views: dict) -> dict[str, np.ndarray]:
+        """Documents per bin of each view's scores."""
+        sent = self.sc.broadcast(views)
+
+        def run(batches):
+            counts = {"content": np.zeros(BINS, dtype=np.int64), "meta": np.zeros(BINS, dtype=np.int64)}
+            for batch in batches:
+                content, meta, _ = unpacked(batch)
+                for name, rows in (("content", content), ("meta", meta)):
+                    counts[name] += np.bincount(bins_of(sent.value[name].score(rows)), minlength=BINS)
+            for name, held in counts.items():
+                at = np.flatnonzero(held)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(held[at])], ["view", "bin", "n"])
+
+        found = {name: np.zeros(BINS, dtype=np.int64) for name in views}
+        counted = self.table.mapInArrow(run, "view string, bin long, n long").groupBy("view", "bin").agg(F.sum("n").alias("n"))
+        for row in counted.collect():  # two views, BINS bins at most
+            found[row["view"]][row["bin"]] = row["n"]
+        sent.unpersist()
+        return found
+
+    def taught(self, views: dict, bounds: dict) -> dict[tuple[str, int, int], np.ndarray]:
+        """Sums over the documents that each view teaches; merged in blocks of cells, in two steps."""
+        sent = self.sc.broadcast((views, bounds))
+        keys = part_rows()
+
+        def run(batches):
+            held: dict = {}
+            for batch in batches:
+                for key, total in taught_sums(*unpacked(batch), *sent.value).items():
+                    held[key] = held[key] + total if key in held else total
+            out = [(keys.index(key), at, part.tobytes()) for key, total in held.items()
+                   for at, part in enumerate(total.reshape(-1, BLOCK)) if part.any()]
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["part", "block", "sums"])
+
+        def merge(rows):
+            total = sum(np.frombuffer(s, dtype=np.int64) for s in rows["sums"])
+            return rows[["part", "block"]].head(1).assign(sums=[total.tobytes()])
+
+        shape = "part int, block int, sums binary"
+        salted = self.table.mapInArrow(run, shape).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        merged = salted.groupBy("part", "block", "salt").applyInPandas(merge, shape).groupBy("part", "block").applyInPandas(merge, shape)
+        sums: dict = {}
+        for row in merged.collect():  # a block of fixed size for each place in the sums
+            key = keys[row["part"]]
+            total = sums.setdefault(key, np.zeros(width_of(key[0]), dtype=np.int64))
+            total[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["sums"], dtype=np.int64)
+        sent.unpersist()
+        return sums
+
+
+def means_of(sums: dict, view: str, dense: int) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """Mean rows of what a view was taught, their classes and numbers of documents."""
+    cells = WORD_CELLS if view == "content" else META_CELLS
+    own = [(label, sums[view, label, stratum]) for name, label, stratum in part_rows() if name == view and (view, label, stratum) in sums]
+    counts = np.array([float(total[-1]) for _, total in own])
+    filled = [np.flatnonzero(total[:cells]) for _, total in own]
+    means = [total / (UNIT * n) for (_, total), n in zip(own, counts)]
+    rows = Rows(
+        np.concatenate(([0], np.cumsum([len(f) for f in filled]))).astype(np.int64), np.concatenate([*filled, np.empty(0, dtype=np.int64)]),
+        np.concatenate([*[m[f] for m, f in zip(means, filled)], np.empty(0)]),
+        np.stack([m[cells : cells + dense] for m in means]) if own else np.zeros((0, dense)),
+    )
+    return rows, np.array([float(label) for label, _ in own]), counts
+
+
+def joined(first: Rows, second: Rows) -> Rows:
+    return Rows(np.concatenate((first.starts, first.starts[-1] + second.starts[1:])), np.concatenate((first.cells, second.cells)),
+                np.concatenate((first.values, second.values)), np.concatenate((first.dense, second.dense)))
+
+
+def co_train(content: Rows, meta: Rows, labels: np.ndarray, pool, rounds: int = ROUNDS) -> Model | None:
+    """Fit both views on labelled rows, in the order of a hash, and on a pool. None without labels of both kinds."""
+    if len(labels) < 20 or len(np.unique(labels)) < 2:
         return None
-    order = known  # rows come in the order of a hash
+    order = np.arange(len(labels))
     held, train = order[: int(len(order) * HELD_OUT)], order[int(len(order) * HELD_OUT) :]
     if len(np.unique(labels[held])) < 2 or len(np.unique(labels[train])) < 2:
         held = train = order
-    pool = np.flatnonzero(np.isnan(labels))
-    guessed = {"content": {}, "meta": {}}
     good_share = labels[train].mean()
-
-    def fit(rows: Rows, own: dict, cells: int) -> Linear:
-        extra = np.fromiter(own, dtype=np.int64, count=len(own))
-        targets = np.concatenate((labels[train], np.fromiter(own.values(), dtype=float, count=len(own))))
-        return fit_linear(rows.pick(np.concatenate((train, extra))), targets, cells)
-
-    def teach(model: Linear, rows: Rows, pupil: dict) -> None:
-        free = np.array([i for i in pool if i not in pupil], dtype=np.int64)
-        if not len(free):
-            return
-        p = sigmoid(model.score(rows.pick(free)))
-        room = max(1, int(SHARE * len(pool)))
-        for target, count, sure in ((1.0, room * good_share, p), (0.0, room * (1 - good_share), 1 - p)):
-            best = np.argsort(-sure, kind="stable")[: max(1, int(count))]
-            pupil.update((int(free[i]), target) for i in best if sure[i] >= SURE)
-
-    views = {}
-    for turn in range(rounds + 1):
-        views = {"content": fit(content, guessed["content"], WORD_CELLS), "meta": fit(meta, guessed["meta"], META_CELLS)}
-        if turn < rounds:
-            teach(views["content"], content, guessed["meta"])
-            teach(views["meta"], meta, guessed["content"])
+    known = {"content": content.pick(train), "meta": meta.pick(train)}
+
+    def fit_view(name: str, sums: dict, turn: int) -> Linear:
+        """Labelled rows of mass 1 each; the means share a mass that grows by the round, by their numbers."""
+        rows, classes, counts = means_of(sums, name, known[name].dense.shape[1])
+        taught = TRUST * turn * len(train) * counts / max(counts.sum(), 1.0)
+        return fit_linear(joined(known[name], rows), np.concatenate((labels[train], classes)),
+                          np.concatenate((np.ones(len(train)), taught)), WORD_CELLS if name == "content" else META_CELLS)
+
+    views = {name: fit_view(name, {}, 0) for name in known}
+    for turn in range(1, rounds + 1):
+        counts = pool.histograms(views)
+        if not all(c.sum() for c in counts.values()):
+            break
+        bounds = {name: surest(c, SHARE * turn, good_share) for name, c in counts.items()}
+        sums = pool.taught(views, bounds)
+        views = {name: fit_view(name, sums, turn) for name in known}
     truth = labels[held]
     c, m = views["content"].score(content.pick(held)), views["meta"].score(meta.pick(held))
     content_scale, meta_scale = fit_small(c[:, None], truth), fit_small(m[:, None], truth)
@@ -194,58 +354,97 @@ def co_train(content: Rows, meta: Rows, labels: np.ndarray, rounds: int = ROUNDS
     return Model(views["content"], views["meta"], content_scale, meta_scale, combined, threshold)
 
 
-def sample(docs: DataFrame, labels: DataFrame, labelled: int, pool: int) -> DataFrame:
-    """Ids and labels of the documents that the fit uses, both parts in the order of a hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """Ids and labels of the labelled documents that the fit uses, the first in the order of a hash of the id."""
     order = F.xxhash64("doc_id", F.lit(11))
     first = labels.where(F.col("doc_id").isNotNull() & F.col("good").isNotNull()).groupBy("doc_id").agg(F.max("good").alias("good"))
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull())
-    chosen = first.join(ids.distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled)
-    free = ids.distinct().join(first, "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool)
-    return chosen.unionByName(free.withColumn("good", F.lit(None).cast("double")))
+    return first.join(ids, "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled)
 
 
-FEATURES = "doc_id long, good double, cells binary, values binary, dense binary, meta binary"
+FEATURES = "doc_id long, good double, cells binary, counts binary, n_words long, dense binary, meta binary, stratum int"
 
 
 def features(docs: DataFrame) -> DataFrame:
     """Both views of documents (doc_id, good, lang, source, n_chars, text) as packed numbers."""
 
     def run(batches):
+        word_cells, meta_cells = Cells(WORD_CELLS), Cells(META_CELLS)
         for batch in batches:
-            columns = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names) if name != "text"}
-            out = []
-            for i, text in enumerate(raw_texts(batch)):
-                text = text or b""
-                words = text.split()
-                cells, counts = np.unique(np.fromiter((cell(w, WORD_CELLS) for w in words), dtype=np.int32, count=len(words)), return_counts=True)
-                meta = [cell(n, META_CELLS) for n in meta_names(columns["lang"][i], columns["source"][i], columns["n_chars"][i], text)]
-                out.append((
-                    columns["doc_id"][i], columns["good"][i], cells.tobytes(), (counts / max(len(words), 1)).astype(np.float32).tobytes(),
-                    np.array(ratios(text, words)).tobytes(), np.array(meta, dtype=np.int32).tobytes(),
-                ))
-            if out:
-                types = [pa.int64(), pa.float64(), *[pa.binary()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "good", "cells", "values", "dense", "meta"])
+            for part in pieces_of(batch):
+                columns = {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names) if name != "text"}
+                out = []
+                for i, text in enumerate(raw_texts(part)):
+                    text = text or b""
+                    words = text.split()
+                    cells, counts = np.unique(np.fromiter(map(word_cells.__getitem__, words), dtype=np.uint16, count=len(words)), return_counts=True)
+                    lang, source = columns["lang"][i], columns["source"][i]
+                    meta = [meta_cells[n] for n in meta_names(lang, source, columns["n_chars"][i], text)]
+                    out.append((
+                        columns["doc_id"][i], columns["good"][i], cells.tobytes(), counts.astype(np.uint32).tobytes(), len(words),
+                        np.array(ratios(text, words)).tobytes(), np.array(meta, dtype=np.uint16).tobytes(),
+                        cell(f"{lang} {source}".encode(), STRATA),
+                    ))
+                types = [pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int32()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), types)],
+                    ["doc_id", "good", "cells", "counts", "n_words", "dense", "meta", "stratum"])
 
     return docs.mapInArrow(run, FEATURES)
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> Model | None:
-    """Fit on at most ``labelled`` + ``pool`` documents, whose ids (a bounded number) are broadcast."""
-    named = F.broadcast(sample(docs, labels, labelled, pool))
-    picked = docs.select("doc_id", "lang", "source", "n_chars", "text").join(named, "doc_id").select("doc_id", "good", "lang", "source", "n_chars", "text")
-    by_id = {row["doc_id"]: row for row in features(picked).collect()}  # of repeated ids the last one found
-    rows = [by_id[i] for i in sorted(by_id, key=lambda i: (xxhash.xxh3_64_intdigest(b"%d" % i), i))]
-    if not rows:
+class Cells(dict):
+    """Cells of names, looked up once; starts anew when full."""
+
+    def __init__(self, cells: int, limit: int = 1 << 18):
+        super().__init__()
+        self.cells, self.limit = cells, limit
+
+    def __missing__(self, name: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[name] = cell(name, self.cells)
+        return value
+
+
+def packed_column(batch: pa.RecordBatch, name: str, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Where the rows of a column of packed numbers start, and all its numbers."""
+    held = batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())
+    sizes = pa.compute.binary_length(held).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    return np.concatenate(([0], np.cumsum(sizes))), np.frombuffer(b"".join(held.to_pylist()), dtype=kind)
+
+
+def unpacked(batch: pa.RecordBatch) -> tuple[Rows, Rows, np.ndarray]:
+    """Both views of the rows of a feature table, and their strata."""
+    starts, cells = packed_column(batch, "cells", np.uint16)
+    _, counts = packed_column(batch, "counts", np.uint32)
+    n_words = batch.column(batch.schema.get_field_index("n_words")).to_numpy(zero_copy_only=False)
+    _, dense = packed_column(batch, "dense", np.float64)
+    meta_starts, meta = packed_column(batch, "meta", np.uint16)
+    values = counts / np.repeat(np.maximum(n_words, 1), np.diff(starts))
+    strata = batch.column(batch.schema.get_field_index("stratum")).to_numpy(zero_copy_only=False)
+    n = len(n_words)
+    return Rows(starts, cells.astype(np.int64), values, dense.reshape(n, RATIOS)), Rows(meta_starts, meta.astype(np.int64), np.ones(len(meta)), np.zeros((n, 1))), strata
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model | None:
+    """Fit on at most ``labelled`` labelled documents, whose ids are broadcast, and on all other documents."""
+    named = F.broadcast(sample(docs, labels, labelled))
+    marked = docs.select("doc_id", "lang", "source", "n_chars", "text").join(named, "doc_id", "left")
+    table = materialize(features(marked.select("doc_id", "good", "lang", "source", "n_chars", "text")), "features")
+    own = table.where(F.col("good").isNotNull())
+    kept = ["cells", "counts", "n_words", "dense", "meta", "stratum"]
+    tie = F.struct(F.xxhash64(*kept).alias("h"), *kept)
+    one = own.groupBy("doc_id").agg(F.max("good").alias("good"), F.min(tie).alias("row")).select("doc_id", "good", "row.*").drop("h")
+    batch = one.toArrow().combine_chunks()  # ``labelled`` rows at most, a row no longer than all cells
+    if not batch.num_rows:
         return None
-    cells = [np.frombuffer(r["cells"], dtype=np.int32) for r in rows]
-    starts = np.concatenate(([0], np.cumsum([len(c) for c in cells])))
-    content = Rows(starts, np.concatenate(cells), np.concatenate([np.frombuffer(r["values"], dtype=np.float32) for r in rows]).astype(float),
-                   np.stack([np.frombuffer(r["dense"]) for r in rows]))
-    metas = np.stack([np.frombuffer(r["meta"], dtype=np.int32) for r in rows])
-    meta = Rows(np.arange(len(rows) + 1) * metas.shape[1], metas.ravel(), np.ones(metas.size), np.zeros((len(rows), 1)))
-    truth = np.array([np.nan if r["good"] is None else r["good"] for r in rows])
-    return co_train(content, meta, truth, rounds)
+    batch = batch.to_batches()[0]
+    ids = batch.column(0).to_pylist()
+    order = np.array(sorted(range(len(ids)), key=lambda i: (xxhash.xxh3_64_intdigest(b"%d" % ids[i]), ids[i])))
+    content, meta, _ = unpacked(batch)
+    truth = batch.column(1).to_numpy(zero_copy_only=False)[order]
+    return co_train(content.pick(order), meta.pick(order), truth, SparkPool(table), rounds)
 
 
 class WordWeights(dict):
@@ -299,15 +498,15 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), labelled: int = LABELLED,
-             pool: int = POOL, rounds: int = ROUNDS) -> DataFrame:
+             rounds: int = ROUNDS) -> DataFrame:
     """Fit on labels (doc_id, good: 1.0, 0.0 or null) and score all of ``docs`` (doc_id, text, lang, source, n_chars).
 
     One row per row of ``docs``: the columns in ``keep``, the probability of each view and of both
     together, and ``kept``. Null, empty and very long texts are scored like others; null
     languages, sources and sizes are values of their own (a null size is the text's).
-    Rows without an id are scored and not used for the fit. Of repeated ids and labels
-    one row each is used for the fit. Without at least 20 labels of both kinds the
+    Documents without a label, without an id, or beyond the ``labelled`` first ones are what the
+    views label for each other. Of repeated labelled ids and labels one row each is used for the fit. Without at least 20 labels of both kinds the
     probabilities are null and every row is kept. Empty tables give no rows.
     """
     typed = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    return score(docs, fit(typed, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("good").cast("double").alias("good")), labelled, pool, rounds), keep)
+    return score(docs, fit(typed, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("good").cast("double").alias("good")), labelled, rounds), keep)
