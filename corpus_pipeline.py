@@ -32,13 +32,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; of repeated rows one."""
+    """The first document of each group of near duplicates, by id (null last) and text; of repeated rows one."""
     ship_package(spark)
-    groups = ngram_join.near_duplicates(docs)
-    own_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # null ids are one key; texts are shuffled by it once
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(own_id.alias("_id")).distinct()
-    kept = docs.select(*COLUMNS, own_id.alias("_id")).join(first, "_id", "left_semi")
-    copies = Window.partitionBy("_id", F.xxhash64(F.lower("text"))).orderBy("n_chars", "source", "lang")
+    own_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))  # beside the text's hash, so null ids do not gather
+    groups = ngram_join.near_duplicates(docs, with_first=True)
+    first = groups.where("is_first").select(own_id.alias("_id"), F.col("text_id").alias("_text")).distinct()
+    kept = docs.select(*COLUMNS, own_id.alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_text")).join(first, ["_id", "_text"], "left_semi")
+    copies = Window.partitionBy("_id", "_text").orderBy("n_chars", "source", "lang")
     return kept.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") == 1).select(*COLUMNS)
 
 

@@ -171,3 +171,19 @@ def test_stages_on_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, FOLDER).collect()
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_one_of_each_group_stays_without_ids(spark):
+    """Null and repeated ids: the first by id, then by text; documents without words are no group."""
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join([*base[:-1], "other"])
+    alone = "a text of its own that nothing else in the table holds"
+    rows = [(None, " ".join(base)), (None, near), (None, alone), (4, near), (4, " ".join(base).upper()), (9, near), (9, near), (5, ""), (5, ""), (6, ""),
+            (7, "an id used"), (7, "for two different texts")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["ngram_join"]
+    got = sorted(((r["doc_id"], r["text"]) for r in stage(spark, docs, FOLDER).collect()), key=str)
+    group = [g for g in got if g[1].lower() in (near, " ".join(base))]
+    assert len(group) == 1 and group[0][0] == 4
+    assert sorted((g for g in got if g not in group), key=str) == sorted(
+        [(None, alone), (5, ""), (6, ""), (7, "an id used"), (7, "for two different texts")], key=str)

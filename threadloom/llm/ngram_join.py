@@ -293,14 +293,16 @@ def links_of(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text",
-                    bits: int = SKETCH_BITS, rounds: int = PIVOT_ROUNDS) -> DataFrame:
+                    bits: int = SKETCH_BITS, rounds: int = PIVOT_ROUNDS, with_first: bool = False) -> DataFrame:
     """Per row its number of shingles and the smallest id that links reach: doc_id, n_shingles, component_id.
 
     One row per input row. Texts without words, null ones among them, have no
     shingles and reach only themselves. Equal sets are one class, however many
     documents share it; null ids take part, but never name a component that has
     another id. Repeated rows are members of one class. Empty tables give no rows.
-    Other columns are not read.
+    Other columns are not read. ``with_first`` adds is_first: whether the row's id and text
+    are the first ones that links reach, by id (null last), then by a hash of the text; and
+    text_id, that hash.
     """
     picked = id_and_text(docs, id_col, text_col).withColumn("text_id", F.xxhash64("text"))
     profile, sketch = profiles(picked, size, bits)
@@ -332,15 +334,19 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, least: int = LEAST, id_c
         links = new if links is None else links.unionByName(new)
         if turn == rounds:
             break
-    names = components(links).join(classes.withColumnRenamed("sig", "node"), "node")
-    least_id = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    reached = names.join(least_id, "component").select(F.col("node").alias("sig"), "component_id")
-    own = classes.select("sig", F.col("doc_id").alias("class_id"))
-    by_sig = own.join(reached, "sig", "left").select("sig", F.coalesce("component_id", "class_id").alias("component_id"))
-    return profile.select("doc_id", "n", "sig").join(by_sig, "sig", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    named = classes.select(F.col("sig").alias("node"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rep_text").alias("own"))
+    names = components(links).join(named, "node")
+    least_id = names.groupBy("component").agg(F.min("own").alias("first"))
+    reached = names.join(least_id, "component").select(F.col("node").alias("sig"), "first")
+    own = named.withColumnRenamed("node", "sig")
+    by_sig = own.join(reached, "sig", "left").select("sig", F.coalesce("first", "own").alias("first"))
+    alone = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("text_id").alias("rep_text"))
+    found = profile.join(by_sig, "sig", "left").withColumn("first", F.when(F.col("n") > 0, F.col("first")).otherwise(alone))
+    result = [F.col("doc_id"), F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id")]
+    if with_first:
+        same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("text_id").eqNullSafe(F.col("first.rep_text"))
+        result += [same.alias("is_first"), "text_id"]
+    return found.select(*result)
 
 
 def picked_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
