@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import product
 
 import numpy as np
 from pyspark.ml.classification import (
@@ -196,29 +199,29 @@ def apply_calibration(model: IsotonicRegressionModel, df: DataFrame, score: str
     )
 
 
-def tune_lr(df: DataFrame, id_col: str, grid: LogRegGrid = GRID_DEFAULT, label: str = "label") -> DataFrame:
+def tune_lr(df: DataFrame, id_col: str, grid: LogRegGrid = GRID_DEFAULT, label: str = "label", at_once: int = 8) -> DataFrame:
     """Grid search over repeated stratified folds.
 
     One row per (C, penalty) with mean and population deviation of AUC and AP
     over the folds, best first. The folded rows are written once and read by
-    every fit.
+    every fit; ``at_once`` fits are submitted together, so that the small jobs of
+    one fill the tasks that another leaves idle.
     """
     folded = materialize(
         sampling.folds(df.select(id_col, label, "features"), id_col, label, grid.folds, grid.repeats, grid.seed),
         "folds",
     )
-    parts = None
-    for c in grid.cs:
-        for penalty in grid.penalties:
-            for r in range(grid.repeats):
-                for f in range(grid.folds):
-                    inside = (F.col("repeat") == r) & (F.col("fold") == f)
-                    model = train_lr(folded.where((F.col("repeat") == r) & (F.col("fold") != f)), c, penalty, grid.max_iter, label)
-                    held = with_score(model, folded.where(inside)).select(
-                        F.lit(float(c)).alias("c"), F.lit(penalty).alias("penalty"), "repeat", "fold", label, "score"
-                    )
-                    parts = held if parts is None else parts.unionByName(held)
-    scored = materialize(parts, "fold-scores")
+
+    def held_out(setting: tuple[float, str, int, int]) -> DataFrame:
+        c, penalty, r, f = setting
+        model = train_lr(folded.where((F.col("repeat") == r) & (F.col("fold") != f)), c, penalty, grid.max_iter, label)
+        return with_score(model, folded.where((F.col("repeat") == r) & (F.col("fold") == f))).select(
+            F.lit(float(c)).alias("c"), F.lit(penalty).alias("penalty"), "repeat", "fold", label, "score"
+        )
+
+    settings = list(product(grid.cs, grid.penalties, range(grid.repeats), range(grid.folds)))
+    with ThreadPoolExecutor(at_once) as together:
+        scored = materialize(reduce(DataFrame.unionByName, together.map(held_out, settings)), "fold-scores")
     per_fold = evaluate.measure(scored, label, "score", ["c", "penalty", "repeat", "fold"])
     return rank_configs(
         per_fold.groupBy("c", "penalty").agg(

@@ -2,34 +2,41 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from threadloom.config import ForestConfig, LogRegGrid, NmfConfig, VocabConfig
+from threadloom.config import FOREST_DEFAULT, GRID_DEFAULT, NMF_DEFAULT, VOCAB_DEFAULT
 from threadloom.functions import tokens as tk
 from threadloom.operators import evaluate as ev, features as feat, labels as lb, models
 from threadloom.plans.registry import query
 from threadloom.session import materialize, scratch_path
 from threadloom.sources import writers
 
-# Settings for a quick fit; the published ones are the library defaults.
-VOCAB = VocabConfig(min_df=5, max_df=0.5, max_features=800)
-NMF = NmfConfig(k=5, max_iter=6, inner_steps=5)
-FOREST = ForestConfig(trees=12, max_depth=8)
-STEPS = 4000  # the stopping tolerance decides
+#: The topic fit of the folder that was read last, by application and folder.
+_FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def training_rows(t):
-    """Labelled documents with vectors of a topic model over all documents."""
-    docs = materialize(
-        t.texts().select("doc_id", F.col("text").alias("text_all"), tk.simple_tokens("text").alias("toks")),
-        "model-docs",
-    )
-    model = models.fit_topics(docs, "doc_id", "toks", None, VOCAB, NMF)
-    labels = t.read("labels").select("doc_id", F.col("toxic").alias("label"), "quality")
-    labelled = docs.join(labels, "doc_id")
-    vectors = materialize(models.document_vectors(labelled, "doc_id", "toks", model, VOCAB, NMF), "vectors")
-    return labelled.drop("toks"), vectors, model
+    """Labelled documents with vectors of a topic model over all documents.
+
+    The queries below start from the same fit at the default settings; the first one of
+    an application makes it, its tables stay in the shared folder and the others read them.
+    """
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _FITTED:
+        docs = materialize(
+            t.texts().select("doc_id", F.col("text").alias("text_all"), tk.simple_tokens("text").alias("toks")),
+            "model-docs",
+        )
+        model = models.fit_topics(docs, "doc_id", "toks")
+        labels = t.read("labels").select("doc_id", F.col("toxic").alias("label"), "quality")
+        labelled = docs.join(labels, "doc_id")
+        vectors = materialize(models.document_vectors(labelled, "doc_id", "toks", model, VOCAB_DEFAULT, NMF_DEFAULT), "vectors")
+        _FITTED.clear()
+        _FITTED[key] = labelled.drop("toks"), vectors, model
+    return _FITTED[key]
 
 
 def feature_rows(t):
@@ -44,7 +51,7 @@ def with_bundle(t):
     labelled, vectors, model = training_rows(t)
     scaler = feat.fit_scaler(feat.meta_features(labelled))
     rows = materialize(models.build_features(labelled, vectors, "doc_id", model.n_terms, model.k, scaler=scaler), "features")
-    bundle, test = models.fit_calibrated(rows, "doc_id", max_iter=STEPS, scaler=scaler)
+    bundle, test = models.fit_calibrated(rows, "doc_id", scaler=scaler)
     return labelled, vectors, model, bundle, test
 
 
@@ -66,26 +73,26 @@ def feature_vectors(t):
 @query("train_lr")
 def train_lr(t):
     rows, _ = feature_rows(t)
-    return r6(ev.measure(models.with_score(models.train_lr(rows, 3.0, max_iter=STEPS), rows)), "auc", "ap")
+    return r6(ev.measure(models.with_score(models.train_lr(rows, 3.0), rows)), "auc", "ap")
 
 
 @query("train_rf")
 def train_rf(t):
     rows, _ = feature_rows(t)
-    return r6(ev.measure(models.with_score(models.train_rf(rows, FOREST), rows)), "auc", "ap")
+    return r6(ev.measure(models.with_score(models.train_rf(rows, FOREST_DEFAULT), rows)), "auc", "ap")
 
 
 @query("tune_lr")
 def tune_lr(t):
     rows, _ = feature_rows(t)
-    grid = LogRegGrid(cs=(0.1, 3.0), penalties=("l2",), folds=3, repeats=1, max_iter=20)
+    grid = replace(GRID_DEFAULT, repeats=1, max_iter=100)  # all settings; one repeat and fewer steps for time
     return r6(models.tune_lr(rows, "doc_id", grid), "auc_mean", "auc_std", "ap_mean", "ap_std")
 
 
 @query("calibrated_scores")
 def calibrated_scores(t):
     rows, _ = feature_rows(t)
-    _bundle, test = models.fit_calibrated(rows, "doc_id", max_iter=STEPS)
+    _bundle, test = models.fit_calibrated(rows, "doc_id")
     return r6(test.select("doc_id", "label", "score", "calibrated", "pred"), "score", "calibrated")
 
 
@@ -97,7 +104,7 @@ def bootstrap_ci(t):
 @query("ablation")
 def ablation(t):
     labelled, vectors, model = training_rows(t)
-    return r6(models.ablation(labelled, vectors, "doc_id", model.n_terms, model.k, max_iter=STEPS), "auc", "ap")
+    return r6(models.ablation(labelled, vectors, "doc_id", model.n_terms, model.k), "auc", "ap")
 
 
 @query("source_comparison")
@@ -107,35 +114,35 @@ def source_comparison(t):
     ai = lb.ai_labels(t.ai()).select(F.col("post_id").cast("bigint").alias("doc_id"), "label")
     vectors = rows.select("doc_id", "features")
     sets = {"hand": vectors.join(hand, "doc_id"), "ai": vectors.join(ai, "doc_id")}
-    return r6(models.compare_sources(sets, "doc_id", FOREST), "pos_rate", "auc", "ap", "threshold")
+    return r6(models.compare_sources(sets, "doc_id", FOREST_DEFAULT), "pos_rate", "auc", "ap", "threshold")
 
 
 @query("final_model")
 def final_model(t):
     rows, _ = feature_rows(t)
-    return models.final_model(rows, FOREST, 0.37)[1]
+    return models.final_model(rows, FOREST_DEFAULT, 0.37)[1]
 
 
 @query("importance_share")
 def importance_share(t):
     rows, _ = feature_rows(t)
-    return r6(models.importance_share(models.train_rf(rows, FOREST), t.spark), "share")
+    return r6(models.importance_share(models.train_rf(rows, FOREST_DEFAULT), t.spark), "share")
 
 
 @query("learning_curve")
 def learning_curve(t):
     rows, _ = feature_rows(t)
-    return r6(models.learning_curve(rows, "doc_id", max_iter=STEPS), "auc", "ap")
+    return r6(models.learning_curve(rows, "doc_id"), "auc", "ap")
 
 
 @query("contributions")
 def contributions(t):
     """Strongest terms of every wrongly scored document."""
     rows, model = feature_rows(t)
-    lr = models.train_lr(rows, 3.0, max_iter=STEPS)
+    lr = models.train_lr(rows, 3.0)
     wrong = ev.errors(models.with_score(lr, rows), 0.5).select("doc_id")
     docs = t.texts().select("doc_id", tk.simple_tokens("text").alias("toks"))
-    terms = feat.model_terms(docs.join(wrong, "doc_id", "left_semi"), "doc_id", "toks", None, VOCAB)
+    terms = feat.model_terms(docs.join(wrong, "doc_id", "left_semi"), "doc_id", "toks", None, VOCAB_DEFAULT)
     weights = feat.tfidf(terms, model.vocab, "doc_id")
     return r6(models.contributions(weights, models.coefficient_table(lr, model.vocab), "doc_id"), "contribution")
 
