@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from threadloom.llm.shared import pieces_of, raw_texts
-from threadloom.session import materialize
+from threadloom.session import scratch_path
 
 #: Labelled documents that the fit may use, at most.
 LABELLED = 4000
@@ -431,7 +431,17 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: in
     """Fit on at most ``labelled`` labelled documents, whose ids are broadcast, and on all other documents."""
     named = F.broadcast(sample(docs, labels, labelled))
     marked = docs.select("doc_id", "lang", "source", "n_chars", "text").join(named, "doc_id", "left")
-    table = materialize(features(marked.select("doc_id", "good", "lang", "source", "n_chars", "text")), "features")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "features")
+    features(marked.select("doc_id", "good", "lang", "source", "n_chars", "text")).write.parquet(path)
+    try:
+        return fit_table(spark.read.schema(FEATURES).parquet(path), rounds)
+    finally:  # only the fit reads the table
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fit_table(table: DataFrame, rounds: int = ROUNDS) -> Model | None:
+    """Fit on a table of features: labelled rows, and those without a label as the pool."""
     own = table.where(F.col("good").isNotNull())
     kept = ["cells", "counts", "n_words", "dense", "meta", "stratum"]
     tie = F.struct(F.xxhash64(*kept).alias("h"), *kept)
