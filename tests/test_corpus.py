@@ -68,6 +68,37 @@ def test_tree_prunes_below_a_removed_comment(spark):
     assert got == {"a": 0, "d": 1, "e": 2}
 
 
+def thread(spark, rows):
+    """(id, parent) rows of one thread ``p``."""
+    return make_comments(spark, [(i, "p", up, "x", 1.0, 1, 0) for i, up in rows])
+
+
+def test_a_deep_thread_takes_logarithmic_rounds(spark, monkeypatch):
+    written = []
+    keep = merge.materialize
+    monkeypatch.setattr(merge, "materialize", lambda df, label: written.append(label) or keep(df, label))
+    chain = [("c0", "p")] + [(f"c{i}", f"c{i - 1}") for i in range(1, 1000)]
+    got = {r["comment_id"]: r["depth"] for r in merge.flatten_tree(thread(spark, chain)).collect()}
+    assert got == {f"c{i}": i for i in range(1000)}
+    assert written.count("tree-round") == 10, "log2 of 999, rounded up"
+
+
+def test_hubs_circles_repeats_and_nulls_in_a_thread(spark):
+    rows = [("h", "p"), ("x", "y"), ("y", "x"), ("s", "s"), ("below", "x"), ("lost", "absent"), (None, "p"), ("n", None)]
+    rows += [(f"r{i}", "h") for i in range(50)] + [("r7", "h")] + [(f"q{i}", f"r{i}") for i in range(50)]
+    wanted = {"h": 0} | {f"r{i}": 1 for i in range(50)} | {f"q{i}": 2 for i in range(50)}
+    for hub in (1, 8, 1000):
+        got = [(r["comment_id"], r["depth"]) for r in merge.flatten_tree(thread(spark, rows), hub).collect()]
+        assert sorted(got) == sorted(wanted.items()), hub
+    assert merge.flatten_tree(thread(spark, rows).limit(0)).count() == 0
+
+
+def test_top_comments_filter_language_before_the_cut(spark):
+    rows = [(f"c{i}", "p", "p", "bonjour tout le monde" if i % 2 else "good morning to all", float(i), i, 0) for i in range(8)]
+    tagged = make_comments(spark, rows).withColumn("said", F.when(F.col("body").startswith("good"), "en").otherwise("fr"))
+    assert [r["comment_id"] for r in merge.top_comments(tagged, 3, lang="said").orderBy("rank").collect()] == ["c6", "c4", "c2"]
+
+
 def test_top_n_beyond_the_pruned_limit(spark):
     df = spark.range(3000).select(F.lit("hot").alias("g"), F.col("id"))
     got = merge.top_n_per_group(df, ["g"], [F.col("id").desc()], 1500, salts=8)

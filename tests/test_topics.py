@@ -135,6 +135,25 @@ def test_language_detection(spark):
     assert got == {1: "en", 2: "de"}
 
 
+def test_language_column_equals_the_joined_form(spark):
+    train = spark.createDataFrame(
+        [("the house and the garden a b", "en"), ("das haus und der garten", "de"), ("la maison et le jardin à", "fr")], "text string, lang string"
+    )
+    profiles = feat.language_profiles(train, "text", "lang", 20)
+    texts = [None, "", "123", "A b", "a", "the der", "garten haus", "le  jardin\n\tÀ", "zzz", "DAS-und.THE and the " * 500, "maison", "maison"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    joined = {r["id"]: r["detected"] for r in feat.detect_lang(df, "id", "text", profiles).collect()}
+    column = feat.lang_column("text", feat.pack_profiles(profiles))
+    got = {r["id"]: r["l"] for r in df.select("id", column.alias("l")).collect()}
+    assert {i: l for i, l in got.items() if l} == joined and set(joined.values()) == {"en", "de", "fr"}
+    tagged = feat.tag_languages(df, feat.pack_profiles(profiles), {"text": "said"})
+    assert {r["id"] for r in tagged.where("said IS NULL").collect()} == {0, 1, 2, 4, 8}
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    empty = feat.pack_profiles(profiles.limit(0))
+    assert df.select(feat.lang_column("text", empty).alias("l")).where("l IS NOT NULL").count() == 0
+
+
 def test_c_tfidf_by_hand(spark):
     df = spark.createDataFrame([(0, ["a", "a", "b"]), (1, ["b"])], "topic int, toks array<string>")
     got = {(r["topic"], r["term"]): r["weight"] for r in tp.c_tfidf(df, "topic", "toks").collect()}

@@ -3,6 +3,9 @@ stemming and lemmatising, meta features and feature assembly."""
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -310,14 +313,74 @@ def language_profiles(df: DataFrame, text: str, lang: str, size: int = 300, n: i
     )
 
 
+#: Most rows of a profile table that is packed into a function; a model's size, not the data's.
+PROFILE_ROWS = 100_000
+
+
+def pack_profiles(profiles: DataFrame) -> tuple[list[str], dict[str, list[tuple[int, int]]]]:
+    """Profiles as (languages, gram -> [(language, weight)]), for ``lang_column``.
+
+    A gram weighs one more than the ranks behind it in the longest profile. The table
+    holds a fixed number of grams per language; more than ``PROFILE_ROWS`` rows raise
+    an error (``detect_lang`` joins such a table instead).
+    """
+    rows = profiles.limit(PROFILE_ROWS + 1).collect()
+    if len(rows) > PROFILE_ROWS:
+        raise ValueError(f"more than {PROFILE_ROWS} profile rows: join them by detect_lang")
+    langs = sorted({r["profile_lang"] for r in rows})
+    size = max((r["rank"] for r in rows), default=0) + 1
+    packed: dict[str, list[tuple[int, int]]] = {}
+    for r in rows:
+        packed.setdefault(r["gram"], []).append((langs.index(r["profile_lang"]), size - r["rank"]))
+    return langs, packed
+
+
+def lang_column(text: Column | str, packed: tuple[list[str], dict], n: int = 3) -> Column:
+    """The language of a text as a column: one pass over the text, no shuffle.
+
+    Rank-weighted overlap of its letter n-grams with each profile; the first language
+    by name wins a tie. Null for a null text and one that shares nothing with any profile.
+    Words reach the function joined by blanks, so a window over a gap has a blank
+    inside, which no gram of a profile has.
+    """
+    langs, table = packed
+    k = len(langs)
+
+    # Marked so that a filter on the language is not pushed below it and run again.
+    @F.pandas_udf("string")
+    def detect(texts: pd.Series) -> pd.Series:
+        found = []
+        for s in texts:
+            scores = [0] * k
+            for gram, times in Counter([s[i : i + n] for i in range(len(s) - n + 1)]).items() if s else ():
+                for lang, weight in table.get(gram, ()):
+                    scores[lang] += times * weight
+            best = max(scores, default=0)
+            found.append(langs[scores.index(best)] if best else None)
+        return pd.Series(found, dtype=object)
+
+    spaced = F.concat(F.lit(" "), F.array_join(letter_words(text), " "), F.lit(" "))
+    return detect.asNondeterministic()(spaced)
+
+
+def tag_languages(df: DataFrame, packed: tuple[list[str], dict], texts: dict[str, str], least: int = 3) -> DataFrame:
+    """Add the language of each text column under its new name (``texts``: column -> name).
+
+    Texts of fewer than ``least`` characters are not judged and have a null.
+    """
+    judged = {
+        name: lang_column(F.when(F.length(F.trim(text)) >= least, F.col(text)), packed) for text, name in texts.items()
+    }
+    return df.withColumns(judged)
+
+
 def detect_lang(df: DataFrame, id_col: str, text: str, profiles: DataFrame, n: int = 3, out: str = "detected") -> DataFrame:
     """Rank-weighted overlap with each language profile; the best one wins.
 
-    Profiles hold a fixed number of n-grams per language, so they are small
-    unless the language list grows; their size is checked before broadcasting.
-    The n-grams of a document are scored where they are cut, and leave the task
-    as one number per language. A text sharing nothing with any profile has no
-    row.
+    The join form of ``lang_column``, for profile tables of any size: n-grams of a
+    document are scored where they are cut, and leave the task as one number per
+    language. Repeated ids are judged together; a text sharing nothing with any
+    profile has no row.
     """
     size = profiles.agg((F.max("rank") + 1).alias("m")).scalar()
     table = (

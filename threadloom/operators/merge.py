@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from threadloom import reference_tables as ref
 from threadloom.functions.text import compose_all
+from threadloom.operators.emotion import small
+from threadloom.operators.posts import english_side
 from threadloom.session import materialize
 
 # The optimiser prunes ranks before the shuffle up to this limit
@@ -170,39 +172,77 @@ def reply_counts(comments: DataFrame) -> DataFrame:
     )
 
 
-def flatten_tree(comments: DataFrame) -> DataFrame:
+#: Replies that meet at one comment before they are dealt over several tasks.
+HUB_REPLIES = 20_000
+
+
+def _meet(waiting: DataFrame, reached: DataFrame, hub: int) -> DataFrame:
+    """Every waiting comment beside the one it points to, in its own thread.
+
+    Comments with more than ``hub`` rows pointing to them have their own row repeated
+    once per part, and the rows that point to them are dealt over these parts.
+    """
+    at = ["link_id", "up"]
+    target = reached.select(
+        "link_id", F.col("comment_id").alias("up"), F.col("up").alias("_next"), F.col("dist").alias("_more")
+    )
+    hubs = (
+        waiting.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hub)
+        .select(*at, F.ceil(F.col("_n") / hub).alias("_parts"))
+    )
+    if hubs.isEmpty():
+        met = waiting.join(target, at)
+    else:
+        hubs = small(materialize(hubs, "tree-hubs"))
+        parts = F.coalesce("_parts", F.lit(1))
+        dealt = waiting.join(hubs, at, "left").withColumn("_part", F.pmod(F.xxhash64("comment_id"), parts)).drop("_parts")
+        copies = target.join(hubs, at, "left").select(
+            *at, "_next", "_more", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("_part")
+        )
+        met = dealt.join(copies, [*at, "_part"])
+    return met.select(
+        "comment_id", "link_id", "parent_id", F.col("_next").alias("up"), (F.col("dist") + F.col("_more")).alias("dist")
+    )
+
+
+def flatten_tree(comments: DataFrame, hub: int = HUB_REPLIES) -> DataFrame:
     """Depth of every comment reachable from its post over live comments.
 
-    A removed comment takes its whole subtree along. Each round joins the next
-    level to the one before, so the rounds number the depth of the deepest
-    thread, and every comment is emitted once. Each level is written to the
-    shared folder, so no round recomputes an earlier one.
+    Pointer doubling: each comment points to its parent, and in every round to what
+    that one points to, so a thread of depth d takes about log2(d) rounds. A comment
+    whose pointer reaches the top is done and is written once; one whose pointer
+    leads to a removed or absent comment goes, and with it its whole subtree. Rows that
+    point in a circle go once their distance exceeds the number of rows. Every round is
+    written to the shared folder. An id that occurs repeatedly in a thread is one comment
+    below its smallest live parent; null ids and parents are not reachable.
     """
+    top = F.col("parent_id") == F.col("link_id")
     live = materialize(
-        comments.where(~F.col("body").isin(ref.MARKERS)).select(
-            "comment_id", "link_id", "parent_id"
-        ),
+        comments.where(~F.col("body").isin(ref.MARKERS))
+        .groupBy("comment_id", "link_id")
+        .agg(F.min("parent_id").alias("parent_id"))
+        .where("comment_id IS NOT NULL AND link_id IS NOT NULL AND parent_id IS NOT NULL")
+        .withColumns({"up": F.when(~top, F.col("parent_id")), "dist": F.when(top, 0).otherwise(1).cast("bigint")}),
         "tree-live",
     )
-    child = live.where(F.col("parent_id") != F.col("link_id"))
-    level = live.where(F.col("parent_id") == F.col("link_id")).withColumn("depth", F.lit(0))
-    out = level
-    depth = 0
-    while not level.isEmpty():
-        depth += 1
-        reached = level.select("link_id", F.col("comment_id").alias("parent_id"))
-        level = materialize(
-            child.join(reached, ["link_id", "parent_id"])
-            .select("comment_id", "link_id", "parent_id", F.lit(depth).alias("depth")),
-            f"tree-level-{depth}",
+    total = live.count()
+    done, waiting = live.where(F.col("up").isNull()), live.where(F.col("up").isNotNull())
+    while not waiting.isEmpty():
+        met = materialize(
+            _meet(waiting, done.unionByName(waiting), hub).where(F.col("dist") <= total), "tree-round"
         )
-        out = out.unionByName(level)
-    return out
+        done = done.unionByName(met.where(F.col("up").isNull()))
+        waiting = met.where(F.col("up").isNotNull())
+    return done.select("comment_id", "link_id", "parent_id", F.col("dist").cast("int").alias("depth"))
 
 
-def top_comments(comments: DataFrame, k: int = 3, min_len: int = 10) -> DataFrame:
-    """Best-scored comments per post after the length filter."""
+def top_comments(comments: DataFrame, k: int = 3, min_len: int = 10, lang: Column | str | None = None) -> DataFrame:
+    """Best-scored comments per post after the length filter and, with ``lang``, the
+    language filter: both come before the cut."""
     kept = comments.where((F.length("body") >= min_len) & ~F.col("body").isin(ref.MARKERS))
+    if lang is not None:
+        kept = kept.withColumn("_lang", F.col(lang) if isinstance(lang, str) else lang)
+        kept = kept.where(english_side("body", "_lang")).drop("_lang")
     return top_n_per_group(kept, ["link_id"], [F.col("score").desc(), F.col("comment_id")], k)
 
 

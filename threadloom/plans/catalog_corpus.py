@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from threadloom.config import PullConfig
 from threadloom.functions import text as tx
-from threadloom.operators import merge, posts as po, profile
+from threadloom.operators import features as feat, merge, posts as po, profile
 from threadloom.plans import corpus
 from threadloom.plans.registry import query
-from threadloom.plans.tables import COMMENTS, POSTS, with_ctes, with_recursive
+from threadloom.plans.tables import COMMENTS, POSTS, PROFILES, detected, with_ctes, with_recursive
 
 SPACE, NON_SPACE = tx.SPACE, tx.NON_SPACE
 END_EPOCH = 1733011200
@@ -128,48 +128,53 @@ REASONS = f"""reasons AS (
     WHEN NOT (created_dt BETWEEN make_timestamp({END_EPOCH}::BIGINT * 1000000) - INTERVAL 9 MONTH AND make_timestamp({END_EPOCH}::BIGINT * 1000000)) THEN 'time'
     WHEN over_18 THEN 'nsfw'
     WHEN coalesce(removed_by_category, '') <> '' THEN 'removed'
-    WHEN NOT ((length(trim(title, ' ')) >= 3 AND lang = 'en') OR (length(trim(selftext, ' ')) >= 3 AND lang = 'en')) THEN 'non_english'
+    WHEN NOT ((length(trim(title, ' ')) >= 3 AND coalesce(tl.l = 'en', true)) OR (length(trim(selftext, ' ')) >= 3 AND coalesce(bl.l = 'en', true))) THEN 'non_english'
     ELSE 'kept' END AS reason
-  FROM (SELECT *, make_timestamp(CAST(created_utc * 1000000 AS BIGINT)) AS created_dt FROM posts))"""
+  FROM (SELECT *, make_timestamp(CAST(created_utc * 1000000 AS BIGINT)) AS created_dt FROM posts) p
+  LEFT JOIN tl ON tl.k = post_id LEFT JOIN bl ON bl.k = post_id)"""
+POST_LANGS = (PROFILES, detected("tl", "posts", "post_id", "title"), detected("bl", "posts", "post_id", "selftext"))
+COMMENT_LANGS = (PROFILES, detected("cl", "comments", "comment_id", "body"))
+
+
+def _tagged_posts(t):
+    """Posts with the detected language of their title and of their body."""
+    return feat.tag_languages(po.normalize_posts(t.posts()), t.profiles(), {"title": "title_lang", "selftext": "selftext_lang"})
 
 
 def _reasons(t):
-    posts = po.normalize_posts(t.posts()).withColumn("title_lang", F.col("lang")).withColumn("selftext_lang", F.col("lang"))
-    return po.filter_reason(posts, F.timestamp_seconds(F.lit(END_EPOCH)), PullConfig(months_back=9))
+    return po.filter_reason(_tagged_posts(t), F.timestamp_seconds(F.lit(END_EPOCH)), PullConfig(months_back=9))
 
 
-@query("filter_reasons", with_ctes(POSTS, REASONS, "SELECT reason, count(*) AS n FROM reasons GROUP BY reason"))
+@query("filter_reasons", with_ctes(POSTS, *POST_LANGS, REASONS, "SELECT reason, count(*) AS n FROM reasons GROUP BY reason"))
 def filter_reasons(t):
     return po.reason_counts(_reasons(t))
 
 
 @query(
     "ingest_filters",
-    with_ctes(POSTS, REASONS, "SELECT post_id, subreddit FROM reasons WHERE reason = 'kept'"),
+    with_ctes(POSTS, *POST_LANGS, REASONS, "SELECT post_id, subreddit FROM reasons WHERE reason = 'kept'"),
 )
 def ingest_filters(t):
     """The single filters one after the other keep the same posts."""
-    posts = po.normalize_posts(t.posts()).withColumn("title_lang", F.col("lang")).withColumn("selftext_lang", F.col("lang"))
+    posts = _tagged_posts(t)
     end = F.timestamp_seconds(F.lit(END_EPOCH))
     kept = po.english_only(po.drop_removed(po.drop_nsfw(po.in_window(posts, end, 9))))
     return kept.select("post_id", "subreddit")
 
 
-COMMENT_LANG = "CASE role WHEN 'assistant' THEN 'fr' WHEN 'user' THEN 'en' END"
-
-
 @query(
     "comment_filter",
     with_ctes(
         COMMENTS,
-        f"""SELECT comment_id, CASE WHEN body IN ('[deleted]', '[removed]') THEN 'removed'
+        *COMMENT_LANGS,
+        """SELECT comment_id, CASE WHEN body IN ('[deleted]', '[removed]') THEN 'removed'
           WHEN length(body) < 200 THEN 'short'
-          WHEN NOT (length(trim(body, ' ')) >= 3 AND coalesce({COMMENT_LANG} = 'en', true)) THEN 'non_english'
-          ELSE 'kept' END AS reason FROM comments""",
+          WHEN NOT (length(trim(body, ' ')) >= 3 AND coalesce(l = 'en', true)) THEN 'non_english'
+          ELSE 'kept' END AS reason FROM comments LEFT JOIN cl ON k = comment_id""",
     ),
 )
 def comment_filter(t):
-    tagged = t.comments().withColumn("lang", F.expr(COMMENT_LANG))
+    tagged = feat.tag_languages(t.comments(), t.profiles(), {"body": "lang"})
     return po.comment_reason(tagged, 200).select("comment_id", "reason")
 
 
@@ -358,13 +363,16 @@ def tree_depth(t):
     "top_comments",
     with_ctes(
         COMMENTS,
+        *COMMENT_LANGS,
         """SELECT link_id, comment_id, CAST(rank AS INTEGER) AS rank FROM (
           SELECT link_id, comment_id, row_number() OVER (PARTITION BY link_id ORDER BY score DESC, comment_id) AS rank
-          FROM comments WHERE length(body) >= 10 AND body NOT IN ('[deleted]', '[removed]')) WHERE rank <= 3""",
+          FROM comments LEFT JOIN cl ON k = comment_id
+          WHERE length(body) >= 10 AND body NOT IN ('[deleted]', '[removed]') AND length(trim(body, ' ')) >= 3 AND coalesce(l = 'en', true)) WHERE rank <= 3""",
     ),
 )
 def top_comments(t):
-    return merge.top_comments(t.comments()).select("link_id", "comment_id", "rank")
+    spoken = feat.lang_column("body", t.profiles())
+    return merge.top_comments(t.comments(), lang=spoken).select("link_id", "comment_id", "rank")
 
 
 @query(

@@ -10,8 +10,7 @@ from threadloom.operators import features as feat
 from threadloom.operators.stems import stem_tokens
 from threadloom.plans.catalog_corpus import NON_SPACE, SPACE, sql_clean
 from threadloom.plans.registry import query
-from threadloom.plans.tables import with_ctes
-from threadloom.session import materialize
+from threadloom.plans.tables import PROFILES, detected, with_ctes
 
 
 def quoted(s: str) -> str:
@@ -317,13 +316,8 @@ def topic_label(t):
 
 @query(
     "lang_id",
-    r"""WITH g0 AS (SELECT doc_id, lang, ' ' || unnest(regexp_extract_all(lower(text), '\p{L}+')) || ' ' AS s FROM documents),
-    g AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3))) AS gram FROM g0),
-    prof AS (SELECT lang, gram, rank FROM (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS rank FROM g GROUP BY lang, gram) WHERE rank <= 300),
-    votes AS (SELECT g.doc_id, p.lang AS l, sum((SELECT max(rank) + 1 FROM prof) - p.rank) AS score FROM g JOIN prof p USING (gram) GROUP BY g.doc_id, p.lang)
-    SELECT doc_id, l AS detected FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, l) AS rn FROM votes) WHERE rn = 1""",
+    with_ctes(PROFILES, detected("found", "documents", "doc_id", "text", 0), "SELECT k AS doc_id, l AS detected FROM found"),
 )
 def lang_id(t):
-    docs = t.texts()
-    profiles = materialize(feat.language_profiles(docs, "text", "lang"), "language-profiles")
-    return feat.detect_lang(docs, "doc_id", "text", profiles)
+    docs = t.texts().select("doc_id", feat.lang_column("text", t.profiles()).alias("detected"))
+    return docs.where(F.col("detected").isNotNull())

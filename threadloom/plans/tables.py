@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from threadloom.operators import features as feat
+
 EPOCH = 1704067200
 YEAR = 31536000
 
@@ -116,6 +118,10 @@ class Tables:
             .select("doc_id", "label", F.round("_s", 3).alias("score"))
         )
 
+    def profiles(self) -> tuple[list[str], dict]:
+        """Language profiles learnt from all ``documents``, packed for use as a column."""
+        return feat.pack_profiles(feat.language_profiles(self.texts(), "text", "lang"))
+
 
 # --- the same derivations for DuckDB ---------------------------------------
 
@@ -158,6 +164,21 @@ SCORED = """scored AS (
     round((((n_chars * 37 + doc_id * 11) % 100) * 0.7::DOUBLE + toxic * 25) / 100.0::DOUBLE, 3) AS score
   FROM labels JOIN documents USING (doc_id))"""
 
+#: The most frequent letter trigrams per language of ``documents``.
+PROFILES = r"""pw AS (SELECT lang, ' ' || unnest(regexp_extract_all(lower(text), '\p{L}+')) || ' ' AS s FROM documents),
+  pg AS (SELECT lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3))) AS gram FROM pw),
+  prof AS (SELECT lang, gram, rank FROM (
+    SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS rank FROM pg GROUP BY lang, gram) WHERE rank <= 300)"""
+
+
+def detected(name: str, table: str, key: str, text: str, least: int = 3) -> str:
+    """CTE ``name`` (k, l): the language with the most votes per row of ``table``."""
+    return rf"""{name}_w AS (SELECT {key} AS k, ' ' || unnest(regexp_extract_all(lower({text}), '\p{{L}}+')) || ' ' AS s
+    FROM {table} WHERE length(trim({text}, ' ')) >= {least}),
+  {name}_g AS (SELECT k, unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3))) AS gram FROM {name}_w),
+  {name}_v AS (SELECT k, lang AS l, sum((SELECT max(rank) + 1 FROM prof) - rank) AS score FROM {name}_g JOIN prof USING (gram) GROUP BY k, lang),
+  {name} AS (SELECT k, l FROM {name}_v QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, l) = 1)"""
+
 
 def with_ctes(*parts: str) -> str:
     """All but the last part are common table expressions."""
