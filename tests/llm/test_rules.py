@@ -68,12 +68,32 @@ def test_mined_rules_equal_all_combinations(spark):
                 both = held.setdefault(part, [0, 0])
                 both[0] += 1
                 both[1] += is_bad
-    rules = {p: b / n for p, (n, b) in held.items() if b >= 6 and b / n >= 0.7}
-    got = url_filters.filter_urls(pages, spark.createDataFrame(bad, "id long, bad boolean"), rules=[], min_support=0.01, min_pages=6)
+    base, z2 = sum(b for _, b in bad) / len(bad), url_filters.DEVIATIONS**2
+
+    def least(b, n):
+        c = b / n
+        return (c + z2 / (2 * n) - (z2 * (c * (1 - c) / n + z2 / (4 * n * n))) ** 0.5) / (1 + z2 / n)
+
+    rules = {p: b / n for p, (n, b) in held.items() if b >= 6 and b / n >= 0.7 and least(b, n) > base}
+    got = url_filters.filter_urls(pages, spark.createDataFrame(bad, "id long, bad boolean"), rules=[], min_support=0.01, min_confidence=0.7, min_pages=6)
     verdicts = {r["page_id"]: r["verdict"] for r in got.collect()}
     assert rules and verdicts == {i: "block" if any(set(p) <= set(tokens[i]) for p in rules) else "allow" for i in tokens}
 
 
+def test_rules_fire_on_the_given_tables(spark):
+    """Counts as the plain search over all token combinations gives them (see the SQL twin)."""
+    pages, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("pages", "labels"))
+    known = labels.select(F.col("doc_id").alias("id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    got = url_filters.filter_urls(pages, known)
+    by_rule = got.where("mined_rule IS NOT NULL").groupBy("mined_rule").count().collect()
+    assert {r["mined_rule"]: r["count"] for r in by_rule} == {
+        "dir=en host=blog.tionsh.example.net scheme=https": 12,
+        "dir=en host=blog.tionsh.example.net": 6,
+        "dir=en fragment scheme=https": 12,
+    }
+    assert got.where("mined_rule IS NOT NULL AND rule IS NULL AND verdict = 'block'").count() == 27
+
+
 def plain_counts(text):
     text = text or ""
     words = WORD.findall(text)
