@@ -50,3 +50,14 @@ def test_blocks_cover_documents_once_and_stay_small():
     assert all(len(b) == 1 or len(b) * sizes[b].max() <= 2000 for b in blocks)
 
 
+def test_layouts_by_document_grow_with_the_text(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "aa bb cc\n\naa dd") for i in range(40)], "id int, text string")
+    monkeypatch.setattr(feat, "TEXT_PART", 50)
+    assert "hashpartitioning(id#" in physical(feat.auto_stop_by_doc(df, "id", "text"))
+    assert ", 12), REPARTITION_BY_NUM" in physical(feat.auto_stop_by_doc(df, "id", "text"))
+    monkeypatch.setattr(tp, "TOKEN_PART", 20)
+    docs = df.select("id", F.split("text", r"\s+").alias("toks"))
+    top = spark.createDataFrame([(0, 1, "aa"), (0, 2, "bb")], "topic int, rank int, term string")
+    assert ", 10), REPARTITION_BY_NUM" in physical(tp.window_masks(docs, "id", "toks", top, 3))
+
+

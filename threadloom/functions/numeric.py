@@ -108,6 +108,16 @@ def zscale(df: DataFrame, columns: list[str], suffix: str = "_z", fit_on: DataFr
     return scored.drop("_stats")
 
 
+def spread_by(df: DataFrame, key: str, size: Column, each: int, sized: DataFrame | None = None) -> DataFrame:
+    """Deal rows over parts by ``key``, as many as the total of ``size`` over ``each`` asks for.
+
+    A task's share stays the same however large the input is; the fixed number of shuffle
+    partitions would let it grow. ``sized`` names another frame to add the sizes up over.
+    """
+    total = (df if sized is None else sized).agg(F.sum(size.cast("bigint")).alias("n")).first()["n"] or 0
+    return df.repartition(max(1, -(-total // each)), key)
+
+
 # ---------------------------------------------------------------------------
 # Exact ranks and running totals without a single-task window
 # ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from threadloom import reference_tables as ref
 from threadloom.config import BLOCKS_DEFAULT, VOCAB_DEFAULT, FeatureBlocks, VocabConfig
-from threadloom.functions.numeric import finite_or_zero, zscale
+from threadloom.functions.numeric import finite_or_zero, spread_by, zscale
 from threadloom.functions.text import has_url, let, paragraphs
 from threadloom.functions.tokens import (
     casual_tokens,
@@ -25,6 +25,9 @@ from threadloom.functions.tokens import (
 from threadloom.operators.emotion import BROADCAST_ROWS, small
 from threadloom.operators.stems import stem_tokens
 
+#: Characters of text in one part of a layout by document; its terms take up to a hundred times that in memory.
+TEXT_PART = 4_000_000
+
 
 def doc_terms(df: DataFrame, id_col: str, tokens: Column | str) -> DataFrame:
     """(id, term, tf). Documents are spread by id once; the count per document
@@ -134,7 +137,9 @@ def auto_stop_by_doc(df: DataFrame, id_col: str, text: str, quantile: float = 0.
 
     All steps share one layout by document.
     """
-    spread = df.select(F.col(id_col), paragraphs(text).alias("_p")).repartition(id_col)
+    spread = spread_by(df.select(id_col, text), id_col, F.length(text), TEXT_PART).select(
+        id_col, paragraphs(text).alias("_p")
+    )
     per_term = (
         spread.select(id_col, F.size("_p").alias("_n"), F.explode("_p").alias("_p"))
         .select(id_col, "_n", F.explode(F.array_distinct(term_tokens("_p"))).alias("term"))
