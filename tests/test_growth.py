@@ -50,6 +50,15 @@ def test_blocks_cover_documents_once_and_stay_small():
     assert all(len(b) == 1 or len(b) * sizes[b].max() <= 2000 for b in blocks)
 
 
+def test_own_terms_are_dropped_by_look_up(spark):
+    df = spark.createDataFrame([(1, "apple pear apple\n\nplum"), (2, None), (None, "apple")], "id int, text string")
+    out = feat.process_text_tfidf(df, "id", "text", quantile=1.0)
+    assert "array_contains" not in plan_of(out)
+    got = {r["id"]: r["tokens"] for r in out.collect()}
+    # terms equal to their stem go; a null id has no terms of its own
+    assert got == {1: ["appl", "appl"], 2: [], None: ["appl"]}
+
+
 def test_layouts_by_document_grow_with_the_text(spark, monkeypatch):
     df = spark.createDataFrame([(i, "aa bb cc\n\naa dd") for i in range(40)], "id int, text string")
     monkeypatch.setattr(feat, "TEXT_PART", 50)
