@@ -25,6 +25,7 @@ from threadloom.functions.numeric import (
     l2_norm,
     row_normalize,
     softmax,
+    spread_by,
 )
 from threadloom.functions.text import let, topic_label
 from threadloom.operators.emotion import small
@@ -457,6 +458,10 @@ def _topic_words(top: DataFrame, n_words: int) -> DataFrame:
     )
 
 
+#: Tokens behind one part of a layout by document.
+TOKEN_PART = 1_000_000
+
+
 def _numbers(n_words: int) -> range:
     return range(-(-n_words // BITS))
 
@@ -530,7 +535,7 @@ def window_masks(
     )
     same_word = W.partitionBy(id_col, "topic", "number", "bit").orderBy("p")
     ranges = (
-        hits.repartition(id_col)
+        spread_by(hits, id_col, F.size(toks), TOKEN_PART, df)
         .withColumn("_before", F.lag("p").over(same_word))
         .withColumn(
             "_from",
