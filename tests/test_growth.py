@@ -70,3 +70,7 @@ def test_layouts_by_document_grow_with_the_text(spark, monkeypatch):
     assert ", 10), REPARTITION_BY_NUM" in physical(tp.window_masks(docs, "id", "toks", top, 3))
 
 
+def test_tfidf_counts_terms_once(spark):
+    assert "regexp_extract_all" not in plan_of(entry.queries()["tfidf"](spark, FOLDER)).split("GlobalLimit")[0]
+
+
