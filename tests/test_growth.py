@@ -74,3 +74,9 @@ def test_tfidf_counts_terms_once(spark):
     assert "regexp_extract_all" not in plan_of(entry.queries()["tfidf"](spark, FOLDER)).split("GlobalLimit")[0]
 
 
+def test_ngrams_are_built_once_and_sorted_without_a_comparator(spark):
+    plan = plan_of(entry.queries()["ngrams"](spark, FOLDER))
+    assert "array_sort" not in plan
+    assert "zip_with" not in "".join(line for line in plan.splitlines() if "Filter" in line)
+
+
