@@ -80,3 +80,13 @@ def test_ngrams_are_built_once_and_sorted_without_a_comparator(spark):
     assert "zip_with" not in "".join(line for line in plan.splitlines() if "Filter" in line)
 
 
+def test_lemmas_shuffle_lists_and_keep_repeated_ids(spark):
+    df = spark.createDataFrame(
+        [(1, ["are", "mice"]), (1, ["was"]), (2, []), (None, ["are"]), (3, None), (4, ["are", "x"])], "id int, toks array<string>"
+    )
+    table = spark.createDataFrame([("are", "v", "be"), ("mice", "n", "mouse")], "word string, pos string, lemma string")
+    out = feat.lemmatize(df, "id", "toks", table)
+    assert "Generate" not in plan_of(out)
+    rows = sorted((r["id"] or 0, r["lemmas"]) for r in out.collect())
+    both = ["be", "was", "mouse"]
+    assert rows == [(0, []), (1, both), (1, both), (2, []), (3, []), (4, ["be", "x"])]
