@@ -65,8 +65,7 @@ def anchored(texts: list[bytes | None], hashes: WordHashes, window: int, anchor:
     if len(h) < window:
         return words, first, empty, empty, empty, np.empty(0, dtype=np.uint64), h
     short = runs(h, anchor)
-    width = window - anchor + 1
-    where = np.lib.stride_tricks.sliding_window_view(short, width).argmin(axis=1) + np.arange(len(short) - width + 1)
+    where = least_places(short, window - anchor + 1)
     text_of = np.repeat(np.arange(len(cut)), sizes)
     inside = text_of[: len(where)] == text_of[window - 1 :]
     starts = np.empty(len(where), dtype=bool)
@@ -79,6 +78,21 @@ def anchored(texts: list[bytes | None], hashes: WordHashes, window: int, anchor:
     return words, first, text_of[at], at, after - at, short[where[at]], h
 
 
+def least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least value, the first of equal ones, among ``width`` neighbours from each place on.
+
+    Windows are put together from two shorter ones that overlap or touch.
+    """
+    places, size = np.arange(len(values)), 1
+    while size < width:
+        step = min(size, width - size)
+        left, right = values[:-step], values[step:]
+        places = np.where(left <= right, places[:-step], places[step:])
+        values = np.minimum(left, right)
+        size += step
+    return places
+
+
 def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """One row (anchor, doc_id) per document and distinct anchor."""
 
