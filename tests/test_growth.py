@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from threadloom.config import NmfConfig
-from threadloom.operators import features as feat, topics as tp
+from threadloom.config import NmfConfig, VocabConfig
+from threadloom.llm import substring_dedup as sd
+from threadloom.operators import features as feat, models, topics as tp
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -42,6 +43,60 @@ def test_document_weights_in_padded_blocks():
         assert cols[rows == d].tolist() == indices.tolist() and vals[rows == d].tolist() == values.tolist()
 
 
+def test_documents_are_packed_once_in_even_parts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [(sorted(rng.choice(30, int(n), replace=False).tolist()), rng.random(int(n)).tolist()) for n in rng.integers(0, 12, 90)] + [([], [])]
+    rows = spark.createDataFrame(docs, "indices array<int>, values array<double>")
+    cells = sum(len(i) for i, _ in docs)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tp, "CELL_PART", 40)
+    monkeypatch.setattr(tp, "CELL_ROW", 9)
+    packed = tp.packed_documents(rows, cells)
+    parts = packed.rdd.getNumPartitions()
+    assert parts % cores == 0 and parts * 40 >= cells > (parts - cores) * 40
+    got = []
+    for r in packed.collect():
+        sizes, cols, vals = (np.frombuffer(bytes(b), d) for b, d in zip(r, ("i4", "i4", "f8")))
+        assert len(sizes) == 1 or sizes.sum() <= 9
+        for a, n in zip(np.cumsum(sizes) - sizes, sizes):
+            got.append((cols[a : a + n].tolist(), vals[a : a + n].tolist()))
+    assert sorted(got) == sorted(docs)
+    config = NmfConfig(k=3, max_iter=4, tol=0.0)
+    h, history = tp.fit_nmf(rows, 30, config)
+    want = tp._start_topics(30, sum(sum(v) for _, v in docs) / (len(docs) * 30), config)
+    batch = pd.DataFrame({"indices": [np.array(i, dtype=np.int32) for i, _ in docs], "values": [np.array(v) for _, v in docs]})
+    for _ in range(4):
+        w, at, cols, vals, model = tp._doc_weights(batch, want, config, config.inner_steps)
+        numer = np.zeros_like(want)
+        for t in range(3):
+            numer[t] = np.bincount(cols, weights=w[at, t] * vals / model, minlength=30)
+        scale = config.alpha_h * len(docs)
+        want = want * numer / (w.sum(axis=0)[:, None] + 0.7 * scale + 0.3 * scale * want + tp.EPS)
+    assert h == pytest.approx(want, rel=1e-9, abs=1e-300) and len(history) == 4
+
+
+def test_vectors_of_fitted_documents_come_from_the_counts_of_the_fit(spark):
+    words = ["red", "blue", "green", "grey", "pink"]
+    rows = [(i, [words[(i + j * j) % 5] for j in range(i % 7)]) for i in range(20)] + [(3, ["red", "red"]), (None, ["blue"])]
+    docs = spark.createDataFrame(rows, "doc_id long, toks array<string>")
+    vocab = VocabConfig(1, 2, 2, 1.0, 50)
+    model = models.fit_topics(docs, "doc_id", "toks", None, vocab, NmfConfig(k=2, max_iter=3))
+    other = spark.createDataFrame([(i,) for i in (1, 3, 3, 4, 5, 5, 5, 99, None)], "doc_id long")
+
+    def cells(df):
+        return sorted((r["doc_id"], r["indices"], [round(x, 12) for x in r["values"]]) for r in df.collect())
+
+    def made(df):
+        terms = feat.model_terms(df, "doc_id", "toks", None, vocab)
+        return feat.tfidf_rows(feat.tfidf(terms, model.vocab, "doc_id"), "doc_id")
+
+    known = models.joined_rows(model, other, "doc_id")
+    assert cells(known) == cells(made(docs.join(other, "doc_id")))
+    assert cells(model.doc_rows.where("doc_id is not null")) == cells(made(docs.where("doc_id is not null")))
+    vectors = models.document_vectors(docs, "doc_id", "toks", model, vocab, NmfConfig(k=2), known=model.doc_rows)
+    assert "Generate" not in plan_of(vectors) and vectors.count() == len(rows)
+
+
 def test_blocks_cover_documents_once_and_stay_small():
     sizes = np.array([0] * 50 + [3] * 400 + [20_000, 5, 900])
     order = np.argsort(sizes, kind="stable")
@@ -90,3 +145,12 @@ def test_lemmas_shuffle_lists_and_keep_repeated_ids(spark):
     rows = sorted((r["id"] or 0, r["lemmas"]) for r in out.collect())
     both = ["be", "was", "mouse"]
     assert rows == [(0, []), (1, both), (1, both), (2, []), (3, []), (4, ["be", "x"])]
+
+
+def test_least_places_are_those_of_argmin():
+    rng = np.random.default_rng(9)
+    for width in (1, 2, 5, 10, 13):
+        values = rng.integers(0, 6, 200).astype(np.uint64)
+        windows = np.lib.stride_tricks.sliding_window_view(values, width)
+        assert sd.least_places(values, width).tolist() == (windows.argmin(axis=1) + np.arange(len(windows))).tolist()
+        assert len(sd.least_places(values[:width], width)) == 1
