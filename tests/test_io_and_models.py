@@ -78,6 +78,23 @@ def test_models_find_the_planted_signal(planted):
         assert ev.measure(models.with_score(model, planted)).first()["auc"] > 0.8
 
 
+def test_small_training_rows_are_fitted_in_one_part(planted, monkeypatch):
+    seen, fit = [], models.LogisticRegression.fit
+    monkeypatch.setattr(models.LogisticRegression, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    dealt = planted.repartition(16)
+    model = models.train_lr(dealt, 1.0, "l2", 20)
+    assert seen == [1]
+    assert model.coefficients.toArray() == pytest.approx(models.train_lr(planted, 1.0, "l2", 20).coefficients.toArray(), rel=1e-3)
+    assert models.by_cells(dealt, per_task=240).rdd.getNumPartitions() == 3, "720 cells"
+    assert models.by_cells(dealt.limit(0)).rdd.getNumPartitions() <= 1
+
+
+def test_learning_curve_holds_every_share(planted):
+    got = {r["train_share"]: r["auc"] for r in models.learning_curve(planted, "doc_id", (0.5, 0.9), max_iter=20).collect()}
+    alone = {s: models._holdout(planted, "doc_id", 42, 20, None, float(s)).first()["auc"] for s in ("0.5", "0.9")}
+    assert got == pytest.approx(alone)
+
+
 def test_calibrated_bundle_roundtrip(spark, planted):
     scaler = {"doc_len": (1.5, 2.0), "has_url": (0.25, 1.0)}
     bundle, test = models.fit_calibrated(planted, "doc_id", max_iter=30, scaler=scaler)
