@@ -106,3 +106,14 @@ def test_copies_odd_rows_and_an_empty_table(spark):
     assert {got[i] for i in range(30)} == {0} and {got[100 + i] for i in range(5, 15)} == {100}
     assert {got[i] for i in (200, 201, 202, None, 300)} == {-1}
     assert density.cluster_density(df.limit(0), "vec_id", "embedding").count() == 0
+
+
+def test_rows_are_copied_by_the_askers_of_their_cell_only(spark):
+    asking = spark.createDataFrame([(i, [0.0], 0) for i in range(5)] + [(9, [1.0], 1)], "id long, v array<double>, cell int")
+    held = spark.createDataFrame([(1, [0.0], 0, 0), (2, [0.0], 0, 1), (9, [1.0], 1, 0), (7, [2.0], 2, 0)], "id long, v array<double>, cell int, block int")
+    left, right = density.by_askers(asking, held, per_part=2)
+    assert sorted((r["id"], r["part"]) for r in right.collect()) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2), (9, 0)]
+    assert sorted(r["id"] for r in left.collect()) == [0, 1, 2, 3, 4, 9]
+    assert all(r["part"] < (3 if r["cell"] == 0 else 1) for r in left.collect())
+    empty, none = density.by_askers(asking.limit(0), held)
+    assert empty.count() == none.count() == 0

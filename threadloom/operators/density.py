@@ -20,7 +20,7 @@ from threadloom.session import materialize
 
 #: Rows of a block of a cell; two blocks are compared in one task.
 BLOCK = 2000
-#: Rows that ask one block in one task.
+#: Rows that ask one block in one task, about.
 ASKING = 16384
 #: Centres of cells; their coordinates are sent to all tasks.
 CELLS = 1024
@@ -47,12 +47,29 @@ def stacked(values) -> np.ndarray:
     return np.array(list(values), dtype=np.float64)
 
 
+def by_askers(asking: DataFrame, held: DataFrame, per_part: int = ASKING) -> tuple[DataFrame, DataFrame]:
+    """Deal the rows that ask a cell over parts, and give each part a copy of the cell's rows.
+
+    ``asking`` (id, v, cell) and ``held`` (id, v, cell, block) get a column ``part``. A cell has as
+    many parts as its own askers fill, so a row is copied as often as its cell is crowded, however
+    large the table is. Cells that nobody asks are left out.
+    """
+    counts = asking.groupBy("cell").agg(F.count("*").alias("n")).collect()  # one row a cell
+    if not counts:
+        return asking.withColumn("part", F.lit(0)), held.limit(0).withColumn("part", F.lit(0))
+    pairs = [x for r in sorted(counts) for x in (r["cell"], -(-r["n"] // per_part))]
+    parts = F.create_map(*[F.lit(x) for x in pairs])[F.col("cell")]
+    dealt = asking.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    return dealt, held.where(parts.isNotNull()).withColumn("part", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
+
+
 def nearest_rows(points: DataFrame, k: int, block: int = BLOCK, cells: int = CELLS) -> DataFrame:
     """The ``k`` nearest other rows of each of ``points`` (id long, v array of doubles): id, other, d.
 
     Exact; ties go to the smaller id. Rows are dealt to the cell of the nearest of some
     centres, large cells to several blocks. Distances within a row's own block bound how
-    far its nearest rows are; it then asks every block of the cells that reach as near.
+    far its nearest rows are; it then asks every block of the cells that reach as near, by
+    their radius and by the plane between the two centres.
     """
     spark = points.sparkSession
     n = points.count()
@@ -84,19 +101,21 @@ def nearest_rows(points: DataFrame, k: int, block: int = BLOCK, cells: int = CEL
                 limit[at : at + 256] = np.partition(distances(v[at : at + 256], v), k, axis=1)[:, k]
         return rows[["id", "v"]].assign(limit=limit)
 
-    bounded = held.groupBy("cell", "block").applyInPandas(bound, "id long, v array<double>, limit double")
+    bounded = materialize(held.groupBy("cell", "block").applyInPandas(bound, "id long, v array<double>, limit double"), "bounded")
 
     def ask(frames):
+        apart = distances(middle.value, middle.value)
         for frame in frames:
-            far = distances(stacked(frame["v"]), middle.value) - reach
-            rows, asked = np.nonzero(far <= frame["limit"].to_numpy()[:, None] * (1 + 1e-9) + 1e-12)
+            far, limit = distances(stacked(frame["v"]), middle.value), frame["limit"].to_numpy()[:, None] * (1 + 1e-9) + 1e-12
+            own = far.argmin(axis=1)
+            between = apart[own]  # a cell's rows lie beyond the plane half way between the two centres
+            plane = (far**2 * (1 - 1e-12) - far[np.arange(len(frame)), own][:, None] ** 2) / np.where(between > 0, 2 * between, np.inf)
+            rows, asked = np.nonzero((far - reach <= limit) & (plane <= limit))
             yield pd.DataFrame({"id": frame["id"].to_numpy()[rows], "v": frame["v"].to_numpy()[rows], "cell": asked.astype(np.int32)})
 
     asking = bounded.mapInPandas(ask, "id long, v array<double>, cell int")
-    parts = max(1, -(-n // ASKING))
-    every = F.explode(F.sequence(F.lit(0), split - 1))
-    asking = asking.where(split.isNotNull()).select("id", "v", "cell", every.alias("block"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
-    asked = held.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    asking, asked = by_askers(asking.where(split.isNotNull()), held)
+    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), split - 1)))
 
     def answer(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
