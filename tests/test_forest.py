@@ -55,7 +55,7 @@ def test_best_splits_are_those_of_a_loop():
         return 1 - sum((x / (c * weights).sum()) ** 2 for x in c * weights)
 
     for i in range(nodes):
-        best = 0.0
+        best, which = 0.0, None
         for j in range(drawn):
             for cut in range(-31, 31):
                 left = totals[i] if cut >= 0 else np.zeros(2)
@@ -68,10 +68,12 @@ def test_best_splits_are_those_of_a_loop():
                 if min(left.sum(), right.sum()) >= least:
                     share = (left * weights).sum() / (totals[i] * weights).sum()
                     gain = impurity(totals[i]) - share * impurity(left) - (1 - share) * impurity(right)
-                    best = max(best, gain)
+                    if gain > best + ft.EPS:
+                        best, which = gain, (j, cut)
                     if i in got and (j, cut) == (got[i][0], got[i][1]):
                         assert got[i][2] == pytest.approx(gain) and got[i][3].tolist() == left.tolist()
         assert (i in got) == (best > ft.EPS) and (best == 0 or got[i][2] == pytest.approx(best))
+        assert i not in got or tuple(got[i][:2]) == which, "the feature drawn first, its lowest cut"
 
 
 def test_drawn_features_differ():
